@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,29 +121,41 @@ def join_denominator(
     return fill_numeric(joined.withColumn(ratio, F.try_divide(numerator, out)))
 
 
+def with_totals(df: DataFrame, source: DataFrame, totals: Mapping[str, Column], columns: Mapping[str, Callable]) -> DataFrame:
+    """Add columns made from aggregates over ``source``.
+
+    All aggregates are found together, in one scalar subquery that gives a struct: one
+    partial aggregation per task, no shuffle of the rows and no join. Each entry of
+    ``columns`` is a function of the struct. ``source`` is read once more, so give this
+    a stored or persisted table where it is costly."""
+    struct = source.agg(F.struct(*[c.alias(n) for n, c in totals.items()]).alias("t")).scalar()
+    added = df.withColumn("_totals", struct)
+    return added.withColumns({n: f(F.col("_totals")) for n, f in columns.items()}).drop("_totals")
+
+
 def share_of_total(df: DataFrame, col: str, out: str, scale: float = 1.0) -> DataFrame:
-    """Each value over the column's sum. The sum is a scalar subquery: one partial
-    aggregation, no shuffle of the rows."""
-    total = df.agg(F.sum(col)).scalar()
-    return df.withColumn(out, F.try_divide(F.col(col) * F.lit(scale), total))
+    """Each value over the column's sum."""
+    return with_totals(
+        df, df, {"total": F.sum(col)}, {out: lambda t: F.try_divide(F.col(col) * F.lit(scale), t["total"])}
+    )
 
 
 def ratio_to_max(df: DataFrame, col: str, out: str) -> DataFrame:
     """Each value over the column's maximum."""
-    return df.withColumn(out, F.try_divide(F.col(col), df.agg(F.max(col)).scalar()))
+    return with_totals(df, df, {"most": F.max(col)}, {out: lambda t: F.try_divide(F.col(col), t["most"])})
 
 
 def participation_shares(df: DataFrame) -> DataFrame:
-    """Funding as a share of the total, projects and organisations over the maximum.
-
-    Give it a persisted or stored table: the totals read it a second time."""
-    total = df.agg(F.sum("total_ec_contribution")).scalar()
-    most_projects = df.agg(F.max("total_projects")).scalar()
-    most_orgs = df.agg(F.max("unique_orgs")).scalar()
-    return df.withColumns(
-        {
-            "funding_share": F.try_divide(F.col("total_ec_contribution"), total),
-            "project_share": F.try_divide(F.col("total_projects"), most_projects),
-            "org_share": F.try_divide(F.col("unique_orgs"), most_orgs),
-        }
-    )
+    """Funding as a share of the total, projects and organisations over their maximum,
+    from one aggregation."""
+    totals = {
+        "amount": F.sum("total_ec_contribution"),
+        "projects": F.max("total_projects"),
+        "orgs": F.max("unique_orgs"),
+    }
+    shares = {
+        "funding_share": lambda t: F.try_divide(F.col("total_ec_contribution"), t["amount"]),
+        "project_share": lambda t: F.try_divide(F.col("total_projects"), t["projects"]),
+        "org_share": lambda t: F.try_divide(F.col("unique_orgs"), t["orgs"]),
+    }
+    return with_totals(df, df, totals, shares)

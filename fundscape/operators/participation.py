@@ -54,12 +54,11 @@ def collab_by_project(
 ) -> DataFrame:
     """Whether each project has more than one country, one row per project.
 
-    More than one distinct country means that the least differs from the greatest:
-    two plain aggregates, combined before the shuffle, so a project with very many
-    rows sends one row per task."""
-    known = df.filter(F.col(project_col).isNotNull())
-    several = F.coalesce(F.min(country_col) != F.max(country_col), F.lit(False))
-    return known.groupBy(project_col).agg(several.alias(out))
+    The distinct count runs as hash aggregates over (project, country) pairs, which are
+    merged before the shuffle and spread over all tasks, so a project with very many
+    rows sends a few rows per task."""
+    counts = countries_per_project(df, project_col, country_col, "_n")
+    return counts.select(project_col, (F.col("_n") > 1).alias(out))
 
 
 def collab_flag(

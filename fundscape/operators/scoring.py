@@ -10,18 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundscape.constants import AVERAGE_LABEL, METRICS, SCORE_WEIGHTS
+from fundscape.operators.features import with_totals
 from fundscape.operators.quantiles import exact_quantiles
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str] = METRICS, suffix: str = "_scaled") -> DataFrame:
     """Scale columns to [0, 1] by their minimum and maximum. A constant column gives 0,
     NULL stays NULL. All extremes come from one aggregation."""
-    low = {c: df.agg(F.min(c)).scalar() for c in cols}
-    high = {c: df.agg(F.max(c)).scalar() for c in cols}
-    return df.withColumns({c + suffix: _position(F.col(c), low[c], high[c]) for c in cols})
+    limits = {f"{side}_{c}": fn(c) for c in cols for side, fn in (("low", F.min), ("high", F.max))}
 
+    def scaled(c: str):
+        return lambda t: position(F.col(c), t[f"low_{c}"], t[f"high_{c}"])
 
-def _position(x: Column, low: Column, high: Column) -> Column:
+    return with_totals(df, df, limits, {c + suffix: scaled(c) for c in cols})
+
+
+def position(x: Column, low: Column, high: Column) -> Column:
+    """Where x lies between two limits, 0 where they coincide."""
     return F.when(x.isNotNull(), F.coalesce(F.try_divide(x - low, high - low), F.lit(0.0)))
 
 
@@ -78,9 +83,9 @@ def ramp_position(
     """Position of each score between the least and the greatest of the countries. The
     average row is flagged, has no position and does not move the limits."""
     average = F.coalesce(F.col(key) == label, F.lit(False))
-    rated = df.filter(~average)
-    position = _position(F.col(col), rated.agg(F.min(col)).scalar(), rated.agg(F.max(col)).scalar())
-    return df.withColumns({out: F.when(~average, position), "is_average": average})
+    limits = {"low": F.min(F.when(~average, F.col(col))), "high": F.max(F.when(~average, F.col(col)))}
+    place = {out: lambda t: F.when(~average, position(F.col(col), t["low"], t["high"]))}
+    return with_totals(df, df, limits, place).withColumn("is_average", average)
 
 
 def ranked(df: DataFrame, by: str, tie: str) -> DataFrame:

@@ -64,8 +64,8 @@ def base_features(flagged: DataFrame, gdp: DataFrame, members: Sequence[str] | D
 def country_features(flagged: DataFrame, gdp: DataFrame, members: Sequence[str] | DataFrame = EU_MEMBERS) -> DataFrame:
     """Features, shares, scaled metrics and the equal-weight score of each member.
     Collaboration was decided over all countries; shares and scales are over members."""
-    shares = keep(participation_shares(keep(base_features(flagged, gdp, members))))
-    return row_mean(minmax_scale(shares, METRICS), SCALED)
+    base = keep(base_features(flagged, gdp, members))
+    return row_mean(minmax_scale(participation_shares(base), METRICS), SCALED)
 
 
 def scored_countries(features: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def scored_countries(features: DataFrame) -> DataFrame:
 
 def weighted_table(scored: DataFrame) -> DataFrame:
     """The scored table with its average row and ramp."""
-    return ramp_position(keep(with_average_row(scored)))
+    return ramp_position(with_average_row(scored))
 
 
 def country_scores(weighted: DataFrame) -> DataFrame:

@@ -107,14 +107,14 @@ FEATURE_COLUMNS = (
 # Text: tokens and n-grams as in the text functions.
 TOKENS = f"""tokens AS (
   SELECT doc_id::VARCHAR AS doc_id,
-         list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}'), w -> w NOT IN ({_list(STOP_WORDS)})) AS w
+         [t FOR t IN regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') IF t NOT IN ({_list(STOP_WORDS)})] AS w
   FROM documents)"""
 RUNS = """runs AS (
   SELECT doc_id, unnest(w) AS phrase FROM tokens
   UNION ALL
-  SELECT doc_id, unnest(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) FROM tokens
+  SELECT doc_id, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM tokens
   UNION ALL
-  SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM tokens)"""
+  SELECT doc_id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM tokens)"""
 CANDS = "cands AS (SELECT doc_id, phrase, count(*) AS tf FROM runs GROUP BY ALL)"
 PHRASE_DF = "phrase_df AS (SELECT phrase, count(*) AS df FROM cands GROUP BY phrase)"
 RELEVANCE = """relevance AS (
@@ -145,7 +145,8 @@ def _normal(keys: str, stream: str) -> str:
 
 PAIRS = """pairs AS (
   SELECT a.n_name AS country, b.n_name AS peer FROM nation a JOIN nation b ON b.n_nationkey = a.n_nationkey + 5
-  WHERE a.n_regionkey <> 4 AND b.n_regionkey <> 4)"""
+  WHERE a.n_regionkey <> 4 AND b.n_regionkey <> 4
+    AND a.n_nationkey IN (SELECT s_nationkey FROM supplier) AND b.n_nationkey IN (SELECT s_nationkey FROM supplier))"""
 
 
 def _peers(scores: str, key: str = "country") -> str:
@@ -217,8 +218,8 @@ FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) ON s_natio
     "noise_uniform": f"SELECT o_orderkey, round({_uniform('o_orderkey::VARCHAR', 'demo')}, 9) AS u FROM orders",
     "holdout_split": f"""SELECT o_orderkey, {_uniform('o_orderkey::VARCHAR', 'holdout', 42)} < 0.2::DOUBLE AS is_test FROM orders""",
     "merge_projects": _with(*TO_MERGED)
-    + """SELECT "projectID", "organisationID", country, round(ec, 2) AS "ecContribution", round(net, 2) AS "netEcContribution",
-  round(cost, 2) AS "organisationTotalCost", topics, status, round(total_cost, 2) AS "projectTotalCost", "order" FROM merged""",
+    + """SELECT "projectID", "organisationID", country, round(ec, 4) AS "ecContribution", round(net, 4) AS "netEcContribution",
+  round(cost, 4) AS "organisationTotalCost", topics, status, round(total_cost, 4) AS "projectTotalCost", "order" FROM merged""",
     "countries_per_project": _with(*TO_MERGED, COLLAB) + 'SELECT pid AS "projectID", n AS n_countries FROM collab',
     "collab_flag": _with(*TO_MERGED, COLLAB)
     + """SELECT "projectID", "organisationID", "order", country, n > 1 AS is_collab FROM merged JOIN collab ON "projectID" = pid""",

@@ -158,7 +158,7 @@ def merge_projects(spark, sf):
             "projectID", "organisationID", "country", "ecContribution", "netEcContribution",
             "organisationTotalCost", "topics", "status", "projectTotalCost", "order",
         ),
-        2,
+        4,
     )
 
 
@@ -211,7 +211,7 @@ def _scored(spark, sf):
 
 
 def _weighted(spark, sf):
-    return analysis.keep(analysis.weighted_table(_scored(spark, sf)))
+    return analysis.weighted_table(_scored(spark, sf))
 
 
 @query

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundscape.operators.participation import flagged_participations, merge_participations
 from fundscape.operators.relevance import select_relevant
+from fundscape.sources import read_table
 
 PREFIXES = ("1-", "2-")
 PATTERN = r"\b(license|worthless)\b"
@@ -17,8 +19,15 @@ STOP_WORDS = (
 STEMS = ("tion", "ment", "ing")
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan a test table. Its schema is inferred once; later reads need no job for it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return read_table(spark, path, _schemas[path])
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +92,9 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each member nation with the next one of its region as peer."""
-    nation = table(spark, sf_dir, "nation").filter("n_regionkey <> 4")
+    """Each member nation with the next one of its region as peer, where both have suppliers."""
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
+    nation = table(spark, sf_dir, "nation").filter("n_regionkey <> 4").join(suppliers, "n_nationkey", "left_semi")
     peer = nation.select(F.col("n_name").alias("peer"), (F.col("n_nationkey") - 5).alias("n_nationkey"))
     return nation.join(peer, "n_nationkey").select(F.col("n_name").alias("country"), "peer")
 

@@ -77,6 +77,6 @@ if __name__ == "__main__":
             else:
                 state = f"rows only: {q(spark, sf_dir).count()}"
         except Exception as e:
-            state = "FAILED " + str(e)[:1500]
+            state = "FAILED " + str(e)[:300]
         print(f"{name}: {state} ({time.time() - t:.1f}s)", flush=True)
         spark.catalog.clearCache()
