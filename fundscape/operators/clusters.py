@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover
 from pyspark.sql import DataFrame
@@ -27,12 +28,13 @@ def text_clusters(
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
     words = df.filter(F.col(text).isNotNull()).select(key, tokens(F.col(text), stop_words).alias("words"))
-    n = words.count()
+    n = df.filter(F.col(text).isNotNull()).count()
     if n < min_texts:
         return words.withColumn("cluster", F.lit(0)).limit(0)
     counts = HashingTF(inputCol="words", outputCol="counts", numFeatures=n_features).transform(words)
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     vectors = IDF(inputCol="counts", outputCol="features").fit(counts).transform(counts)
-    groups = KMeans(k=min(8, max(2, n // 25)), seed=seed, predictionCol="cluster")
+    groups = KMeans(k=min(8, max(2, n // 25)), seed=seed, maxIter=20, predictionCol="cluster")
     return groups.fit(vectors).transform(vectors).select(key, "words", "cluster")
 
 

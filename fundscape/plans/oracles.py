@@ -106,7 +106,7 @@ FEATURE_COLUMNS = (
 
 # Text: tokens and n-grams as in the text functions.
 TOKENS = f"""tokens AS (
-  SELECT doc_id::VARCHAR AS doc_id,
+  SELECT doc_id,
          [t FOR t IN regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') IF t NOT IN ({_list(STOP_WORDS)})] AS w
   FROM documents)"""
 RUNS = """runs AS (
@@ -282,7 +282,7 @@ FROM weighted LEFT JOIN names ON country = code ORDER BY weighted."Weighted_Scor
 WHERE place IS NULL OR rank IN (r1, r2, r3)""",
     "phrase_stem_filter": _with(*TO_STEMMED) + "SELECT doc_id, phrase, rank FROM stemmed",
     "project_keyphrases": _with(*TO_STEMMED)
-    + "SELECT doc_id AS project_id, string_agg(phrase, '; ' ORDER BY rank) AS phrases FROM stemmed GROUP BY 1",
+    + "SELECT doc_id::VARCHAR AS project_id, string_agg(phrase, '; ' ORDER BY rank) AS phrases FROM stemmed GROUP BY 1",
     "term_counts": _with(*TO_STEMMED) + "SELECT phrase AS term, count(*) AS count FROM stemmed GROUP BY 1 ORDER BY 2 DESC, 1",
     "top_terms": _with(*TO_STEMMED)
     + "SELECT phrase AS term, count(*) AS count FROM stemmed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100",

@@ -96,16 +96,19 @@ def distinct_statuses(spark, sf):
 def parse_money(spark, sf):
     """Prices written the European and the English way, and parsed again."""
     lines = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    english = F.format_number("l_extendedprice", 2)
-    european = F.concat(F.lit("€ "), F.translate(english, ",.", ".,"))
-    return lines.select(
+    english = lines.withColumn("english", F.format_number("l_extendedprice", 2))
+    written = english.withColumns(
+        {
+            "european": F.concat(F.lit("€ "), F.translate("english", ",.", ".,")),
+            "commas": F.translate("english", ".", ","),
+        }
+    )
+    return written.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        parse_eu_number(european).alias("from_european"),
-        parse_eu_number(english).alias("from_english"),
-        parse_eu_number(F.regexp_replace(english, r"\.", ",")).alias("from_commas"),
+        *[parse_eu_number(F.col(c)).alias("from_" + c) for c in ("european", "english", "commas")],
     )
 
 
@@ -287,7 +290,7 @@ def ranked_contributions(spark, sf):
 
 
 def _texts(spark, sf):
-    return keyphrases.unique_texts(views.texts(spark, sf), "doc_id", "text")
+    return keyphrases.one_text_per_key(views.texts(spark, sf), "doc_id", "text")
 
 
 def _candidates(spark, sf):
@@ -295,7 +298,9 @@ def _candidates(spark, sf):
 
 
 def _scored_phrases(spark, sf):
-    return keyphrases.phrase_relevance(_candidates(spark, sf), _texts(spark, sf), "doc_id")
+    texts = _texts(spark, sf)
+    frequencies = keyphrases.phrase_frequencies(texts, "doc_id", "text", stop_words=views.STOP_WORDS)
+    return keyphrases.phrase_relevance(_candidates(spark, sf), texts, "doc_id", frequencies)
 
 
 def _topk(spark, sf, k=20):
@@ -306,7 +311,7 @@ def _topk(spark, sf, k=20):
 def unique_texts(spark, sf):
     """One text per source and language, of the many there are."""
     docs = views.table(spark, sf, "documents").withColumn("key", F.concat_ws("/", "source", "lang"))
-    return keyphrases.unique_texts(docs, "key", "text", ordered=True)
+    return keyphrases.unique_texts(docs, "key", "text")
 
 
 @query
