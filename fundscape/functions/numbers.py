@@ -20,8 +20,8 @@ def parse_eu_number(col: Column) -> Column:
 
     With both separators present the later one is the decimal mark; a comma alone
     is a decimal mark; a point alone is one too."""
-    bare = F.translate(col.cast("string"), "€ ", "")
-    comma, point = F.instr(bare, ","), F.instr(bare, ".")
-    decimal_comma = F.translate(F.translate(bare, ".", ""), ",", ".")
-    plain = F.translate(bare, ",", "")
-    return to_number(F.when(comma > point, decimal_comma).otherwise(plain))
+    text = col.cast("string")
+    # translate drops the characters that have no counterpart
+    decimal_comma = F.translate(text, ",.€ ", ".")
+    plain = F.translate(text, ",€ ", "")
+    return to_number(F.when(F.instr(text, ",") > F.instr(text, "."), decimal_comma).otherwise(plain))
