@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundscape.functions import to_number
-from fundscape.sources.lookups import value_list
+from fundscape.sources.lookups import parameter_table, value_list
 
 
 def _share(condition: Column) -> Column:
@@ -93,6 +93,13 @@ def map_codes(df: DataFrame, col: str, codes: DataFrame, out: str, fallback: boo
     return joined.withColumn(out, F.coalesce(out, F.col(f"`{col}`"))) if fallback else joined
 
 
+def alias_codes(df: DataFrame, aliases: Mapping[str, str] | DataFrame, col: str = "country") -> DataFrame:
+    """Replace codes that have an alias (EL by GR, say); none are replaced by default."""
+    table = parameter_table(df.sparkSession, aliases, "code string, alias string")
+    mapped = map_codes(df, col, table, "_alias", fallback=True)
+    return mapped.withColumn(col, F.col("_alias")).drop("_alias")
+
+
 def keep_members(df: DataFrame, members: Sequence[str] | DataFrame, key: str = "country") -> DataFrame:
     """Rows whose key is in the member list."""
     return df.join(value_list(df.sparkSession, members, key), key, "left_semi")

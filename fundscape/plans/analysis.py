@@ -24,6 +24,7 @@ from fundscape.constants import (
 )
 from fundscape.operators.explain import embedding_2d, feature_importance
 from fundscape.operators.features import (
+    alias_codes,
     group_features,
     join_denominator,
     keep_members,
@@ -111,6 +112,7 @@ def run(
     pairs: Mapping[str, str] | DataFrame = PROJECTION_PEERS,
     shocks: Mapping[int, str] | DataFrame = PROJECTION_SHOCKS,
     draws: int = 1,
+    aliases: Mapping[str, str] | DataFrame | None = None,
 ) -> None:
     """Run the stages named, reading earlier results from ``out``.
 
@@ -134,7 +136,8 @@ def run(
         store(value_list(spark, members, "country"), "eu_iso2")
         store(distinct_values(load("projects_preprocessed"), "status"), "project_statuses")
     if "feature_selection" in stages:
-        flagged = collab_flag(parse_money(load("projects_preprocessed")))
+        parts = parse_money(load("projects_preprocessed"))
+        flagged = collab_flag(alias_codes(parts, aliases) if aliases is not None else parts)
         store(country_features(flagged, load("gdp_preprocessed"), load("eu_iso2")), "country_features")
         scored = scored_countries(load("country_features"))
         placed = quantile_bins(embedding_2d(scored), "Weighted_Score", out="quintile")

@@ -104,6 +104,11 @@ def test_gdp_codes(spark):
     assert codes.count() >= 249 and codes.filter(F.col("iso2").isin(*EU_MEMBERS)).count() == 27
 
 
+def test_alias_codes(spark):
+    df = spark.createDataFrame([("EL", 1), ("MT", 2), (None, 3)], "country string, n int")
+    assert rows(features.alias_codes(df, {"EL": "GR"}), "n") == [("GR", 1), ("MT", 2), (None, 3)]
+
+
 def test_shares_and_zero_totals(spark):
     df = spark.createDataFrame([("A", 1.0), ("B", 3.0)], "k string, v double")
     assert rows(features.share_of_total(df, "v", "s"), "k") == [("A", 1.0, 0.25), ("B", 3.0, 0.75)]
