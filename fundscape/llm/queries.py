@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscape.llm import exact_dedup, mixing, sharding, token_store
+from fundscape.llm import exact_dedup, mixing, secret_scan, sharding, token_store, warc
 from fundscape.llm.common import shared_dir, table
 
 SHARDS = 24
@@ -23,6 +23,17 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = shared_dir(spark, "warc")
+    records = warc.read_archives(spark, path, warc.write_archives(pages, path)).filter("entry = 'record'")
+    id_type = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("source_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(id_type).alias("refers_to"),
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "exact.keep_id", "exact.group_size", "exact.kept", "exact.text_sha256")
@@ -33,6 +44,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_lexed"
+    )
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_store.token_digest(spark, docs, shared_dir(spark, "token-store"), token_store.tokenizer_path(), END_ID)
@@ -40,12 +58,28 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_store": op10_token_store,
 }
 
 SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS hex, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+            FROM pages
+        ), fives AS (
+            SELECT *, list_transform(range(8), j -> ('0x' || substr(hex, 1 + 5 * j, 5))::BIGINT) AS v FROM p
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((v[1 + i // 4] >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM fives""",
     "op3_exact_dedup": """
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS n FROM documents
