@@ -60,7 +60,7 @@ def write_file(uri: str, chunks: Iterable[bytes]) -> int:
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     size = 0
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         for c in chunks:
             out.write(c)
             size += len(c)

@@ -72,10 +72,10 @@ SQL: dict[str, str] = {
                    sha1(coalesce(html, '')) AS hex, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
             FROM pages
         ), fives AS (
-            SELECT *, list_transform(range(8), j -> ('0x' || substr(hex, 1 + 5 * j, 5))::BIGINT) AS v FROM p
+            SELECT *, list_transform(range(8), lambda j: ('0x' || substr(hex, 1 + 5 * j, 5))::BIGINT) AS v FROM p
         )
         SELECT page_id, payload_bytes,
-               array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                    1 + ((v[1 + i // 4] >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
                CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
