@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscape.llm import exact_dedup, mixing, secret_scan, sharding, token_store, warc
+from fundscape.llm import decontamination, exact_dedup, mixing, secret_scan, sharding, token_store, warc
 from fundscape.llm.common import shared_dir, table
 
 SHARDS = 24
@@ -39,6 +39,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "exact.keep_id", "exact.group_size", "exact.kept", "exact.text_sha256")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "leak.n_words", "leak.n_hit", F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"), (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -60,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_decontamination": op4_decontamination,
     "op7_mixing": op7_mixing,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_store": op10_token_store,
@@ -87,4 +97,30 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY n) AS kept, sha256(n) AS text_sha256
         FROM t""",
+    "op4_decontamination": r"""
+        WITH dw AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), bw AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), bwin AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS k, w[i : i + least(len(w), 10) - 1] AS win
+            FROM bw, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS r(i) WHERE len(w) > 0
+        ), ks AS (SELECT DISTINCT k FROM bwin),
+        dwin AS (
+            SELECT doc_id, k, i, w[i : i + k - 1] AS win FROM dw, ks, unnest(range(1, len(w) - k + 2)) AS r(i) WHERE len(w) >= k
+        ), hit AS (
+            SELECT doc_id, i, d.k, item_id FROM dwin d JOIN bwin b ON d.k = b.k AND d.win = b.win
+        ), words AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, i, k FROM hit), unnest(range(i, i + k)) AS r(p)
+            GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids
+            FROM hit GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
