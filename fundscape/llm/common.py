@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # White space and words as the query contracts define them.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -76,3 +79,38 @@ def open_file(uri: str):
 def read_file(uri: str) -> bytes:
     with open_file(uri) as f:
         return f.read()
+
+
+def with_struct(df: DataFrame, text: str, name: str, fields: str, compute: Callable[[list[str | None]], list[tuple]], slice_bytes: int = 4 << 20) -> DataFrame:
+    """``df`` and a struct column of ``fields`` (DDL), which ``compute`` makes from some
+    texts at a time. Rows stay where they are; the struct's name gets underscores after it
+    while it is taken."""
+    at, n = df.columns.index(text), len(df.columns)
+    struct = T._parse_datatype_string(f"struct<{fields}>")
+    plain = df.toDF(*[f"_{i}" for i in range(n)])
+    arrow = to_arrow_type(struct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in row_ranges(batch.column(at), slice_bytes):
+                part = batch.slice(a, b - a)
+                rows = compute(part.column(at).to_pylist())
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)]
+                made = pa.StructArray.from_arrays(columns, fields=list(arrow))
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[f"_{i}" for i in range(n + 1)])
+
+    schema = T.StructType([*plain.schema.fields, T.StructField(f"_{n}", struct)])
+    return plain.mapInArrow(run, schema).toDF(*df.columns, free_name(df, name))
+
+
+def row_ranges(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` bytes of text; a longer text is a range of its own."""
+    first, size = 0, 0
+    for i in range(len(texts)):
+        n = texts[i].as_buffer().size if texts[i].is_valid else 0
+        if size and size + n > most:
+            yield first, i
+            first, size = i, 0
+        size += n
+    if len(texts) > first:
+        yield first, len(texts)

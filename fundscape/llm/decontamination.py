@@ -28,9 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fundscape.llm.common import free_name, read_file, shared_dir, stored, write_file
+from fundscape.llm.common import read_file, row_ranges, shared_dir, stored, with_struct, write_file
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -187,19 +186,6 @@ class Suffixes:
 # -- documents -----------------------------------------------------------------------
 
 
-def shard_rows(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about SHARD_BYTES of text."""
-    first, size = 0, 0
-    for i in range(len(texts)):
-        n = texts[i].as_buffer().size if texts[i].is_valid else 0
-        if size and size + n > SHARD_BYTES:
-            yield first, i
-            first, size = i, 0
-        size += n
-    if len(texts) > first:
-        yield first, len(texts)
-
-
 def sequence_of(texts: list[str | None], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Word ids of all texts, a 0 after each text, and the texts' first places."""
     get, parts, starts, at = vocabulary.get, [], [], 0
@@ -243,33 +229,19 @@ def search_shard(texts: list[str | None], files: list[str], window: int, cache:
     return n_words, (hit[ends] - hit[starts]).tolist(), items
 
 
-LEAK = "struct<n_words:bigint,n_hit:bigint,items:array<string>>"
-LEAK_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))])
-
-
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, path: str | None = None, text: str = "text",
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """Columns of ``docs`` and ``leak``: n_words, n_hit, items (sorted as strings)."""
     files = write_blocks(benchmark, path or shared_dir(docs.sparkSession, "decontamination"), item_id, item_text)
-    at = docs.columns.index(text)
+    cache: dict[str, Block] = {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, Block] = {}
-        for batch in batches:
-            for a, b in shard_rows(batch.column(at)):
-                part = batch.slice(a, b - a)
-                n_words, n_hit, items = search_shard(part.column(at).to_pylist(), files, window, cache)
-                leak = pa.StructArray.from_arrays(
-                    [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(i) for i in items], pa.list_(pa.string()))],
-                    names=["n_words", "n_hit", "items"],
-                )
-                yield pa.RecordBatch.from_arrays([*part.columns, leak], names=[f"_{i}" for i in range(part.num_columns + 1)])
+    def compute(texts: list[str | None]) -> list[tuple]:
+        n_words, n_hit, items = search_shard(texts, files, window, cache)
+        return list(zip(n_words, n_hit, map(sorted, items), strict=True))
 
-    plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-    schema = T.StructType([*plain.schema.fields, T.StructField(f"_{len(docs.columns)}", T._parse_datatype_string(LEAK))])
-    return plain.mapInArrow(run, schema).toDF(*docs.columns, free_name(docs, "leak"))
+    return with_struct(docs, text, "leak", "n_words: bigint, n_hit: bigint, items: array<string>", compute, SHARD_BYTES)
 
 
 def longest_matches(
@@ -283,7 +255,7 @@ def longest_matches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, Block] = {}
         for batch in batches:
-            for a, b in shard_rows(batch.column("text")):
+            for a, b in row_ranges(batch.column("text"), SHARD_BYTES):
                 texts, ids = batch.column("text").slice(a, b - a).to_pylist(), batch.column("id").slice(a, b - a).to_pylist()
                 rows: list[tuple] = []
                 for file in files:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscape.llm import decontamination, exact_dedup, mixing, secret_scan, sharding, token_store, warc
+from fundscape.llm import decontamination, exact_dedup, language_id, mixing, secret_scan, sharding, token_store, warc
 from fundscape.llm.common import shared_dir, table
 
 SHARDS = 24
@@ -48,6 +48,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    out = language_id.identify(docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", language_id.held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.ambiguous"
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -70,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_language_id": op5_language_id,
     "op7_mixing": op7_mixing,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_store": op10_token_store,
