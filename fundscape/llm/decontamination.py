@@ -29,27 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscape.llm.common import read_file, row_ranges, shared_dir, stored, with_struct, write_file
+from fundscape.llm.common import read_file, row_ranges, shared_dir, stored, with_struct, words, write_file
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
 SHARD_BYTES = 16 << 20  # of text; one longer text is a shard of its own
-PIECE = 4 << 20  # bytes split into words at a time
-
-# Lower-cases A-Z and turns every byte outside words into a space.
-TABLE = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
-)
-
-
-def words(text: str | None) -> Iterator[list[bytes]]:
-    """The words of a text, some at a time."""
-    data, at = (text or "").encode().translate(TABLE), 0
-    while at < len(data):
-        end = data.find(b" ", at + PIECE)
-        end = len(data) if end < 0 else end
-        yield data[at:end].split()
-        at = end
 
 
 # -- benchmark blocks ----------------------------------------------------------------

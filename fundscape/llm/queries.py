@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscape.llm import decontamination, exact_dedup, language_id, mixing, secret_scan, sharding, token_store, warc
+from fundscape.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, secret_scan, sharding, token_store, warc
 from fundscape.llm.common import shared_dir, table
 
 SHARDS = 24
@@ -57,6 +57,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_mixing": op7_mixing,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_store": op10_token_store,
