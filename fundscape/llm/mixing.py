@@ -116,18 +116,53 @@ def hash_limits(sizes: DataFrame, need: DataFrame, n_sources: int, path: str) ->
 
 def mix(
     docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", source: str = "source",
-    most: int = 3, keep: tuple[str, ...] = (),
+    most: int = 3,
 ) -> DataFrame:
-    """id_col, source, size, source_size, target, rate, copies and the columns ``keep``."""
-    spark = docs.sparkSession
-    path = path or shared_dir(spark, "mixing")
+    """id_col, source, size, source_size, target, rate and copies of every row."""
+    path = path or shared_dir(docs.sparkSession, "mixing")
     t, i = F.col(f"`{text}`"), F.col(f"`{id_col}`")
-    u = F.shiftrightunsigned(F.xxhash64(i.cast("string"), F.coalesce(t, F.lit(""))), 64 - HASH_BITS)
-    kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None)
     sizes = stored(
-        docs.select(i.alias("id"), F.col(f"`{source}`").alias("source"), word_count(t).alias("size"), u.alias("u"), kept.alias("kept")),
+        docs.select(i.alias("id"), F.col(f"`{source}`").alias("source"), word_count(t).alias("size"), place(i, t).alias("u")),
         f"{path}/sizes",
     )
+    rates, n_sources = mixing_rates(sizes, path, most)
+    out = with_source(sizes, rates, n_sources, "source_size", "target", "rate", "whole", "takes")
+    return out.select(
+        F.col("id").alias(id_col), "source", "size", "source_size", "target", "rate", copies().alias("copies")
+    )
+
+
+def place(id_: Column, text: Column) -> Column:
+    """A document's place in the order in which its source's last copies are given out."""
+    return F.shiftrightunsigned(F.xxhash64(id_.cast("string"), F.coalesce(text, F.lit(""))), 64 - HASH_BITS)
+
+
+def took() -> Column:
+    """Whether a document (size, u) gets one copy more, by its source's ``takes``."""
+    return F.exists("takes", lambda p: (F.col("size") <= p["need"]) & (F.col("u") < p["limit"]))
+
+
+def copies() -> Column:
+    return (F.col("whole") + F.when(took() & (F.col("size") > 0), 1).otherwise(0)).cast("long")
+
+
+def repeated(
+    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", source: str = "source", most: int = 3
+) -> DataFrame:
+    """``docs`` mixed: every row as many times as it has copies, columns unchanged."""
+    path = path or shared_dir(docs.sparkSession, "mixing")
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    i, t, s = (F.col(names[docs.columns.index(c)]) for c in (id_col, text, source))
+    rows = docs.toDF(*names).withColumns({"source": s, "size": word_count(t), "u": place(i, t)})
+    rates, n_sources = mixing_rates(stored(rows.select("source", "size", "u"), f"{path}/sizes"), path, most)
+    out = with_source(rows, rates, n_sources, "whole", "takes").withColumn("copies", copies()).filter("copies > 0")
+    return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(names).toDF(*docs.columns)
+
+
+def mixing_rates(sizes: DataFrame, path: str, most: int) -> tuple[DataFrame, int]:
+    """Per source: source_size, target, rate, whole (copies that all its documents get) and
+    takes, which documents get one more; and the number of sources. ``sizes``: source,
+    size, u."""
     rates = balance(source_targets(sizes, float(most)), f"{path}/dual")
     n_sources = rates.count()
     rate = F.least(F.exp("tilt"), F.lit(float(most)))
@@ -135,20 +170,14 @@ def mix(
     rates = rates.withColumn("need", F.greatest(F.lit(0), F.floor(F.col("target") - F.col("whole") * F.col("source_size") + 0.5)))
     rates = rates.withColumn("need", F.when(F.col("whole") < most, F.col("need")).otherwise(F.lit(0)))
     rates = stored(rates.withColumn("takes", F.array().cast("array<struct<need:bigint,limit:bigint>>")), f"{path}/rates")
-    taken = F.exists("takes", lambda p: (F.col("size") <= p["need"]) & (F.col("u") < p["limit"]))
     for p in range(PASSES):
         rest = with_source(sizes.filter("size > 0").select("source", "size", "u"), rates, n_sources, "need", "takes")
-        rest = rest.filter((F.col("size") <= F.col("need")) & ~taken).select("source", "size", "u")
+        rest = rest.filter((F.col("size") <= F.col("need")) & ~took()).select("source", "size", "u")
         found = hash_limits(rest, rates, n_sources, f"{path}/pass-{p}").withColumnRenamed("source", "_s")
         joined = rates.join(found, F.col("source").eqNullSafe(F.col("_s")))
-        took = F.array(F.struct("need", "limit"))
+        more = F.array(F.struct("need", "limit"))
         rates = stored(
-            joined.withColumn("takes", F.concat("takes", took)).withColumn("need", F.col("need") - F.col("used")).drop("_s", "limit", "used"),
+            joined.withColumn("takes", F.concat("takes", more)).withColumn("need", F.col("need") - F.col("used")).drop("_s", "limit", "used"),
             f"{path}/rates-{p}",
         )
-    out = with_source(sizes, rates, n_sources, "source_size", "target", "rate", "whole", "takes")
-    copies = F.col("whole") + F.when(taken & (F.col("size") > 0), 1).otherwise(0)
-    return out.select(
-        F.col("id").alias(id_col), *[F.col("kept")[c].alias(c) for c in keep if c not in (id_col, source)],
-        "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"),
-    )
+    return rates, n_sources

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscape.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, secret_scan, sharding, token_store, warc
+from fundscape.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, quality, secret_scan, sharding, token_store, warc
 from fundscape.llm.common import shared_dir, table
 
 SHARDS = 24
@@ -66,6 +66,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "quality.score", "quality.keep", "quality.text_score", "quality.meta_score")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents"))
     return out.select(
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_store": op10_token_store,
 }
