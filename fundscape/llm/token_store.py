@@ -17,7 +17,9 @@ empty table makes a store without shards. A text of any length is one row."""
 from __future__ import annotations
 
 import io
+import json
 import os
+import re
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -29,59 +31,95 @@ from pyspark.sql import functions as F
 
 from fundscape.llm.common import open_file, partitions, read_file, stored, text_or_empty, write_file
 
-MARK = "<|endoftext|>"
 SLICE = 512  # rows encoded at a time
-CACHE = 1_000_000  # distinct pieces remembered by a task
-LONGEST = 64  # longer pieces are encoded each time
+CACHE = 500_000  # words, and pieces, remembered by a task
+LONGEST = 64  # longer words and pieces are encoded each time
+
+# The normalizer and pre-tokenizer that the shortcut below is written for.
+KNOWN_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+# Texts of these characters only: ASCII, and Latin letters that are composed, have one
+# lower-case letter each and are letters in every version of Unicode.
+SIMPLE = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ſ]*")
+LETTERS = "a-zß-öø-įı-ſ"
+PRE_TOKENS = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t\n\r\x200-9{LETTERS}]+")
+
+
+class Words(dict):
+    """Ids, as bytes, of the words asked for, by the tokenizer's own model."""
+
+    def __init__(self, tokenizer, dtype: np.dtype):
+        self.model, self.dtype, self.alphabet = tokenizer.model, dtype, tokenizer.pre_tokenizer[1]
+
+    def __missing__(self, word: str) -> bytes:
+        spelled = word if word.isascii() else self.alphabet.pre_tokenize_str(word)[0][0]
+        ids = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class Encoder:
-    """Encodes whole texts with a ``tokenizers`` file, remembering the ids of pieces.
+    """Encodes whole texts with a ``tokenizers`` file.
 
-    The tokenizer's pre-tokenizer never joins characters over white space, and neither
-    its normalizer nor its merges look beyond it, so a text's ids are those of its
-    space-separated pieces in order. Pieces not seen before are encoded together in one
-    call, kept apart by a special token, which stands alone by definition; a piece that holds
-    special-token text is encoded on its own."""
+    For a tokenizer that composes and lower-cases characters, splits at white space,
+    letters, digits and other signs, and merges within such words only, the ids of a text
+    are those of its words in order. Words repeat, so their ids come from the tokenizer's
+    model once and are remembered. Texts with other than simple characters are taken by
+    their space-separated pieces, which such a tokenizer never joins either, and pieces
+    with other characters, or that could hold special tokens, are encoded as they are. Any
+    other tokenizer encodes whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.token_to_id(MARK)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        config = json.loads(self.tokenizer.to_str())
+        self.by_word = self._splits_at_words(config)
+        self.words = Words(self.tokenizer, self.dtype) if self.by_word else {}
+        self.pieces: dict[str, bytes] = {}
+
+    @staticmethod
+    def _splits_at_words(config: dict) -> bool:
+        steps = (config.get("normalizer") or {}).get("normalizers", [])
+        split, spell = ((config.get("pre_tokenizer") or {}).get("pretokenizers", []) + [{}, {}])[:2]
+        model = config["model"]
+        return (
+            [x["type"] for x in steps] == KNOWN_NORMALIZER
+            and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
+            and (split.get("pattern"), split.get("behavior"), split.get("invert")) == ({"Regex": KNOWN_SPLIT}, "Removed", True)
+            and (spell.get("type"), spell.get("add_prefix_space"), spell.get("use_regex")) == ("ByteLevel", False, False)
+            and (model["type"], model.get("dropout"), config.get("truncation")) == ("BPE", None, None)
+        )
 
     def _plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        usual = [p for p in pieces if "<|" not in p]
-        for i in range(0, len(usual), 4096):
-            some = usual[i : i + 4096]
-            ids = np.asarray(self.tokenizer.encode(MARK.join(some), add_special_tokens=False).ids, self.dtype)
-            cuts = np.flatnonzero(ids == self.mark)
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            raw, w = ids.tobytes(), self.dtype.itemsize
-            for p, a, b in zip(some, starts, ends, strict=True):
-                self.known[p] = raw[a * w : b * w]
-        for p in pieces:
-            if "<|" in p:
-                self.known[p] = self._plain(p)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes."""
-        if self.mark is None:
-            return [self._plain(t) for t in texts]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {p for ps in split for p in ps if len(p) <= LONGEST} - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = {p for ps in split for p in ps if len(p) <= LONGEST}
-        self._learn(list(new))
-        known, plain = self.known, self._plain
-        return [b"".join([known[p] if len(p) <= LONGEST else plain(p) for p in ps]) for ps in split]
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if "<|" not in piece and SIMPLE.fullmatch(piece):
+                return b"".join(map(self.words.__getitem__, PRE_TOKENS.findall(piece.lower())))
+            ids = self._plain(piece)
+            if len(piece) <= LONGEST:
+                if len(self.pieces) >= CACHE:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
+
+    def __call__(self, text: str) -> bytes:
+        """The ids of a text, as bytes."""
+        if not self.by_word or "<|" in text:
+            return self._plain(text)
+        if SIMPLE.fullmatch(text):
+            words = self.words
+            return b"".join([words[w] for w in PRE_TOKENS.findall(text.lower())])
+        return b"".join(map(self._piece, text.replace("\n", " ").split(" ")))
 
 
 def key_hashes(key: str) -> list[Column]:
@@ -119,7 +157,7 @@ def write_store(
                     part = batch.slice(a, SLICE)
                     pid = part.column("pid")[0].as_py()
                     first = len(offsets) - 1
-                    coded = encode(part.column("text").to_pylist())
+                    coded = [encode(t) for t in part.column("text").to_pylist()]
                     for c in coded:
                         offsets.append(offsets[-1] + len(c) // encode.dtype.itemsize + 1)
                     n = part.num_rows
@@ -291,9 +329,9 @@ def lookup(keys: DataFrame, store: dict, key: str = "doc_id") -> DataFrame:
     return hit.select("key", F.explode(F.expr("sequence(first, first + n - 1)")).alias("row"))
 
 
-def read_keys(keys: DataFrame, store: dict, key: str = "doc_id") -> DataFrame:
+def read_keys(keys: DataFrame, store: dict, key: str = "doc_id", wide: bool = False) -> DataFrame:
     """The stored rows of distinct ``keys``: key, row, start (ids before it in the whole
-    store), n_tokens and ids (bytes, ``width`` each, little-endian)."""
+    store), n_tokens and ids (little-endian, ``width`` bytes each, 4 if ``wide``)."""
     path, width = store["path"], store["width"]
     files, row_base, id_base = store["files"], store["row_base"], store["id_base"]
     rows = lookup(keys, store, key)
@@ -319,7 +357,8 @@ def read_keys(keys: DataFrame, store: dict, key: str = "doc_id") -> DataFrame:
                     if lo < held_at or hi > held_at + len(held):
                         ids.seek(lo)
                         held, held_at = ids.read(max(hi - lo, 1 << 20)), lo
-                    raw.append(held[lo - held_at : hi - held_at])
+                    got = held[lo - held_at : hi - held_at]
+                    raw.append(np.frombuffer(got, "<u2").astype("<u4").tobytes() if wide and width == 2 else got)
                     start.append(id_base[s] + lo // width)
                     count.append((hi - lo) // width)
                 yield pa.record_batch(
@@ -333,18 +372,6 @@ def read_keys(keys: DataFrame, store: dict, key: str = "doc_id") -> DataFrame:
     return near.mapInArrow(read, f"key {dtype}, row long, start long, n_tokens long, ids binary").withColumnRenamed("key", key)
 
 
-def wide_ids(column: Column, width: int) -> Column:
-    """Ids of ``width`` bytes as 4 bytes each."""
-    if width == 4:
-        return column
-
-    @F.pandas_udf("binary")
-    def widen(s):
-        return s.map(lambda b: np.frombuffer(b, "<u2").astype("<u4").tobytes())
-
-    return widen(column)
-
-
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -355,5 +382,5 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def token_digest(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int) -> DataFrame:
     """Write ``docs``, read every key back and give doc_id, start, n_tokens, ids_crc32."""
     store = write_store(docs, path, tokenizer, end_id)
-    rows = read_keys(docs.select("doc_id").distinct(), store)
-    return rows.select("doc_id", "start", "n_tokens", F.crc32(wide_ids(F.col("ids"), store["width"])).alias("ids_crc32"))
+    rows = read_keys(docs.select("doc_id").distinct(), store, wide=True)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
