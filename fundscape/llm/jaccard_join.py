@@ -265,7 +265,8 @@ def jaccard_join(
 
     # Their texts, as sets, to the units of work.
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    found = source.join(candidates, F.col("id").eqNullSafe(F.col("rep"))).drop("id", "rep")
+    # A merge join at any size: how many candidates there are follows the data, not a bound.
+    found = source.join(candidates.hint("merge"), F.col("id").eqNullSafe(F.col("rep"))).drop("id", "rep")
     sets = shingle_sets(found, size).dropDuplicates(["key"])
     mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
