@@ -36,6 +36,7 @@ ROUNDS, GROW = 5, 0.05  # of the pool taken per round and view
 RIDGE = 1e-2
 KEEP = 0.5
 N_SHAPE = 12
+ROWS = 1024  # summed at a time in a fit
 
 WORDS = re.compile(r"\w+")
 SYMBOLS = re.compile(r"[^\w\s.,;:'\"!?()-]")
@@ -103,13 +104,17 @@ def meta_matrix(buckets: list[list[int]]) -> np.ndarray:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE, steps: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic fit by Newton steps (features by features only)."""
-    w = np.zeros(x.shape[1])
-    x = x.astype(float)
+    """Weights of a ridge logistic fit by Newton steps, summed over some rows at a time."""
+    n, k = x.shape
+    w, penalty = np.zeros(k), ridge * n / 10 + 1e-9
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (weight * (p - y)) + ridge * len(y) * w / 10
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(x.shape[1]) * (ridge * len(y) / 10 + 1e-9)
+        g, h = penalty * w, np.eye(k) * penalty
+        for a in range(0, n, ROWS):
+            part = x[a : a + ROWS].astype(float)
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            v = weight[a : a + ROWS]
+            g += part.T @ (v * (p - y[a : a + ROWS]))
+            h += part.T @ (part * (v * p * (1 - p))[:, None])
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -183,7 +188,7 @@ def fit(
     unmarked = rows.filter(draw < int(min(1.0, pool / rest) * (1 << 31))).join(marked.select("id"), "id", "left_anti")
     known = rows.join(some, "id").select("id", "text", "meta", "y")
     both = known.union(unmarked.select("id", "text", "meta", F.lit(None).cast("double").alias("y")))
-    seen = with_struct(both, "text", "f", "x: array<float>", lambda t: [(x.tolist(),) for x in text_features(t)])
+    seen = with_struct(both, "text", "f", "x: binary", lambda t: [(x.tobytes(),) for x in text_features(t)])
     seen = seen.select("id", "meta", "y", "f.x", (F.pmod(F.xxhash64(F.lit("apart"), "id"), F.lit(4)) == 0).alias("apart")).toPandas()
     seen = seen.sort_values("id", kind="stable").drop_duplicates("id")
     y = seen["y"].to_numpy(float)
@@ -192,7 +197,8 @@ def fit(
     for part in (is_known & ~apart, is_known & apart):
         if len(set(y[part])) < 2:
             return Model(np.zeros(0), np.zeros(0), np.zeros(0), float(totals[1]))
-    return co_train(np.stack(seen["x"]), meta_matrix(seen["meta"].tolist()), y, is_known, apart)
+    text_rows = np.frombuffer(b"".join(seen.pop("x")), np.float32).reshape(len(seen), -1)
+    return co_train(text_rows, meta_matrix(seen["meta"].tolist()), y, is_known, apart)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", source: str = "source", lang: str = "lang", length: str = "n_chars") -> DataFrame:
