@@ -20,22 +20,30 @@ def text_clusters(
     text: str = "objective",
     stop_words: Sequence[str] | None = None,
     seed: int = 42,
-    n_features: int = 4096,
+    n_features: int = 1 << 18,
     min_texts: int = 5,
 ) -> DataFrame:
     """Cluster texts by their TF-IDF vectors into min(8, max(2, n div 25)) groups:
-    ``(key, words, cluster)``. Fewer than ``min_texts`` texts give no rows."""
+    ``(key, words, cluster)``. Fewer than ``min_texts`` texts give no rows.
+
+    Words share one of ``n_features`` hash buckets when there are more words than that, and
+    then weigh as one word. Keys and vectors are held, on memory and disk, while the fit
+    runs and released after it; words are made again from the texts for the result."""
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
     words = df.filter(F.col(text).isNotNull()).select(key, tokens(F.col(text), stop_words).alias("words"))
-    n = df.filter(F.col(text).isNotNull()).count()
-    if n < min_texts:
-        return words.withColumn("cluster", F.lit(0)).limit(0)
-    counts = HashingTF(inputCol="words", outputCol="counts", numFeatures=n_features).transform(words)
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    vectors = IDF(inputCol="counts", outputCol="features").fit(counts).transform(counts)
-    groups = KMeans(k=min(8, max(2, n // 25)), seed=seed, maxIter=20, predictionCol="cluster")
-    return groups.fit(vectors).transform(vectors).select(key, "words", "cluster")
+    hashed = HashingTF(inputCol="words", outputCol="counts", numFeatures=n_features)
+    counts = hashed.transform(words).select("counts").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = counts.count()
+        if n < min_texts:
+            return words.withColumn("cluster", F.lit(0)).limit(0)
+        idf = IDF(inputCol="counts", outputCol="features").fit(counts)
+        groups = KMeans(k=min(8, max(2, n // 25)), seed=seed, maxIter=20, predictionCol="cluster")
+        model = groups.fit(idf.transform(counts))
+    finally:
+        counts.unpersist()
+    return model.transform(idf.transform(hashed.transform(words))).select(key, "words", "cluster")
 
 
 def cluster_top_words(clusters: DataFrame, n: int = 15) -> DataFrame:

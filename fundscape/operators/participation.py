@@ -82,9 +82,11 @@ def flagged_participations(
     """``merge_participations`` followed by ``collab_flag``, planned as one.
 
     All rows of a kept project survive the inner join, so the flag can be found from
-    the organisations alone and ride along on the project side: the large side is then
-    shuffled once in full, not twice."""
-    flags = collab_by_project(orgs, org_key, country_col, out).withColumnRenamed(org_key, "_flag_key")
+    the organisations alone, of kept projects only, and ride along on the project side:
+    the large side is then shuffled once in full, not twice."""
+    ids = projects.select(F.col(project_key).alias(org_key))
+    members = orgs.select(org_key, country_col).join(ids, org_key, "left_semi")
+    flags = collab_by_project(members, org_key, country_col, out).withColumnRenamed(org_key, "_flag_key")
     flagged = projects.join(flags, F.col(project_key) == F.col("_flag_key"), "left").drop("_flag_key")
     merged = merge_participations(orgs, flagged, org_key, project_key, **merge)
     return merged.withColumn(out, F.coalesce(out, F.lit(False)))

@@ -6,9 +6,8 @@ alone, and lose nothing when an executor goes."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +31,7 @@ from fundscape.operators.features import (
     preprocess_gdp,
 )
 from fundscape.operators.keyphrases import extract_keyphrases
-from fundscape.operators.participation import collab_flag, merge_participations, parse_money
+from fundscape.operators.participation import flagged_participations, parse_money
 from fundscape.operators.projection import project_scores, projection_report
 from fundscape.operators.relevance import distinct_values, select_relevant
 from fundscape.operators.scoring import (
@@ -50,22 +49,22 @@ from fundscape.sources import iso_codes, read_stage, value_list, write_artifact
 SCALED = tuple(SCORE_WEIGHTS)
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Hold a table of one row per country that several outputs read. It spills to disk
-    and is computed again if its executor goes."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def base_features(flagged: DataFrame, gdp: DataFrame, members: Sequence[str] | DataFrame = EU_MEMBERS) -> DataFrame:
     """Totals, ratios and the denominator, for members only. Members are chosen before
     the join, which gives the same rows."""
     return join_denominator(keep_members(group_features(flagged), members), gdp)
 
 
-def country_features(flagged: DataFrame, gdp: DataFrame, members: Sequence[str] | DataFrame = EU_MEMBERS) -> DataFrame:
+def country_features(
+    flagged: DataFrame,
+    gdp: DataFrame,
+    members: Sequence[str] | DataFrame = EU_MEMBERS,
+    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Features, shares, scaled metrics and the equal-weight score of each member.
-    Collaboration was decided over all countries; shares and scales are over members."""
-    base = keep(base_features(flagged, gdp, members))
+    Collaboration was decided over all countries; shares and scales are over members.
+    Shares and scales read the base table several times; ``hold`` may store it."""
+    base = hold(base_features(flagged, gdp, members))
     return row_mean(minmax_scale(participation_shares(base), METRICS), SCALED)
 
 
@@ -89,8 +88,13 @@ def merge_stage(
     orgs: DataFrame,
     prefixes: Sequence[str] = TOPIC_PREFIXES,
     pattern: str = CLIMATE_PATTERN,
+    aliases: Mapping[str, str] | DataFrame | None = None,
 ) -> DataFrame:
-    return merge_participations(orgs, select_relevant(projects, prefixes=prefixes, pattern=pattern))
+    """Participations of the relevant projects with their collaboration flag, which is
+    found here, from (project, country) pairs, so that later stages need no join for it."""
+    if aliases is not None:
+        orgs = alias_codes(orgs, aliases)
+    return flagged_participations(orgs, select_relevant(projects, prefixes=prefixes, pattern=pattern))
 
 
 STAGES = ("data_preprocessing", "feature_selection", "text_analysis", "future_projections")
@@ -131,19 +135,22 @@ def run(
     if codes is None:
         codes = iso_codes(spark)
     if "data_preprocessing" in stages:
-        store(merge_stage(projects, orgs, prefixes, pattern), "projects_preprocessed")
+        store(merge_stage(projects, orgs, prefixes, pattern, aliases), "projects_preprocessed")
         store(preprocess_gdp(gdp, codes), "gdp_preprocessed")
         store(value_list(spark, members, "country"), "eu_iso2")
         store(distinct_values(load("projects_preprocessed"), "status"), "project_statuses")
     if "feature_selection" in stages:
-        parts = parse_money(load("projects_preprocessed"))
-        flagged = collab_flag(alias_codes(parts, aliases) if aliases is not None else parts)
-        store(country_features(flagged, load("gdp_preprocessed"), load("eu_iso2")), "country_features")
+        flagged = parse_money(load("projects_preprocessed"))
+        store(base_features(flagged, load("gdp_preprocessed"), load("eu_iso2")), "country_base")
+        features = minmax_scale(participation_shares(load("country_base")), METRICS)
+        store(row_mean(features, SCALED), "country_features")
         scored = scored_countries(load("country_features"))
         placed = quantile_bins(embedding_2d(scored), "Weighted_Score", out="quintile")
         store(weighted_table(placed), "country_features_weighted")
         store(country_scores(load("country_features_weighted")), "country_scores", "json")
         store(feature_importance(load("country_features")), "feature_importance", "json")
+        weighted = feature_importance(scored_countries(load("country_features")), label="Weighted_Score", seed=42)
+        store(weighted, "feature_importance_weighted")
     if "text_analysis" in stages:
         phrases = extract_keyphrases(load("projects_preprocessed"), stop_words=stop_words, stems=stems)
         store(phrases, "project_keyphrases", "json")

@@ -78,6 +78,19 @@ SCORED = (
     + ' AS "Weighted_Score" FROM scaled)'
 )
 
+# Scores where a metric may be missing: means are over the metrics there are.
+GAPS = (
+    "gaps AS (\n  SELECT *, list_avg(list_filter([" + ", ".join(SCORE_WEIGHTS) + '], lambda x: x IS NOT NULL)) AS "Score", '
+    + " + ".join(f"{c} * {w}::DOUBLE" for c, w in SCORE_WEIGHTS.items())
+    + ' AS "Weighted_Score", ' + " AND ".join(f"{m} IS NOT NULL" for m in METRICS) + " AS is_placed\n  FROM (SELECT *, "
+    + ", ".join(
+        f"CASE WHEN max({m}) OVER () > min({m}) OVER () THEN ({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER ()) "
+        f"WHEN {m} IS NOT NULL THEN 0 END AS {m}_scaled"
+        for m in METRICS
+    )
+    + " FROM shares))"
+)
+
 TO_MERGED = (PROJECT, ORGANIZATION, MERGED)
 TO_SCORED = (*TO_MERGED, COLLAB, GDP, GROUPED, BASE, SHARES, SCALED, SCORED)
 
@@ -129,9 +142,31 @@ STEMMED = "stemmed AS (SELECT * FROM topk WHERE " + " OR ".join(f"contains(phras
 TO_STEMMED = (*TO_RELEVANCE, TOPK.format(k=20), STEMMED)
 
 
-def _alike(a: str, b: str) -> str:
-    both = f"len(list_intersect({a}.words, {b}.words))"
-    return f"({both}::DOUBLE / (len({a}.words) + len({b}.words) - {both}))"
+# The choice of 5 of up to 20 phrases: all subsets once, the likeness of all pairs per text.
+_FIVE = range(1, 6)
+DIVERSE = (
+    "sets AS (SELECT *, list_distinct(string_split(phrase, ' ')) AS words FROM topk)",
+    """pairs_alike AS (
+  SELECT a.doc_id, a.rank AS i, b.rank AS j, len(list_intersect(a.words, b.words)) AS common, len(a.words) + len(b.words) AS total
+  FROM sets a JOIN sets b ON a.doc_id = b.doc_id AND a.rank < b.rank)""",
+    """grid AS (
+  SELECT m.doc_id, m.n, list(coalesce(common / (total - common), 0)::DOUBLE ORDER BY g.i, h.j) AS alike
+  FROM (SELECT doc_id, max(rank) AS n FROM topk GROUP BY 1 HAVING max(rank) > 5) m, range(1, 21) g(i), range(1, 21) h(j)
+  LEFT JOIN pairs_alike p ON p.doc_id = m.doc_id AND p.i = g.i AND p.j = h.j GROUP BY 1, 2)""",
+    "subsets AS (\n  SELECT "
+    + ", ".join(f"r{k}" for k in _FIVE)
+    + ", row_number() OVER (ORDER BY "
+    + ", ".join(f"r{k}" for k in _FIVE)
+    + ") AS place\n  FROM "
+    + ", ".join(f"range(1, 21) s{k}(r{k})" for k in _FIVE)
+    + " WHERE r1 < r2 AND r2 < r3 AND r3 < r4 AND r4 < r5)",
+    "choices AS (\n  SELECT doc_id, min({'likeness': round("
+    + " + ".join(f"alike[(r{a} - 1) * 20 + r{b}]" for b in _FIVE for a in range(1, b))
+    + ", 9), 'place': place}) AS best FROM grid JOIN subsets ON r5 <= n GROUP BY doc_id)",
+    """diverse AS (
+  SELECT topk.doc_id, rank, phrase, score FROM topk LEFT JOIN choices USING (doc_id) LEFT JOIN subsets ON place = best.place
+  WHERE best IS NULL OR rank IN (r1, r2, r3, r4, r5))""",
+)
 
 
 # Noise: the first 32 bits of an MD5 as a fraction.
@@ -181,7 +216,7 @@ def _paths(draws: int) -> tuple[str, ...]:
 
 TO_PEERS = (*TO_SCORED, PAIRS, _peers("scored"))
 TO_PATHS = (*TO_PEERS, *_paths(1))
-NAMES = "names AS (SELECT n_name AS code, 'Nation no. ' || n_nationkey AS name FROM nation WHERE n_nationkey < 10)"
+NAMES = "names AS (SELECT 'NATION_' || (n_nationkey + 5) AS code, 'Nation no. ' || n_nationkey AS name FROM nation)"
 SUMMARY = """CASE country WHEN 'NATION_0' THEN 'Prepared summary of nation 0.'
   WHEN 'NATION_1' THEN 'Prepared summary of nation 1.' ELSE '' END AS summary"""
 PATH_NAMES = """LEFT JOIN names own ON own.code = country LEFT JOIN names other ON other.code = peer"""
@@ -212,9 +247,9 @@ WHERE objective IS NULL OR NOT (starts_with(objective, 'The') OR starts_with(obj
   CASE WHEN l_extendedprice < 1000 THEN l_extendedprice END AS from_commas FROM lineitem""",
     "gdp_preprocess": """SELECT c_custkey, 'C' || c_nationkey AS code, n_name AS iso2,
   CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS gdp_2023
-FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) ON c_nationkey = n_nationkey""",
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey + 5""",
     "code_lookup": """SELECT s_suppkey, s_nationkey::VARCHAR AS code, n_name AS name, coalesce(n_name, s_nationkey::VARCHAR) AS name_or_code
-FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) ON s_nationkey = n_nationkey""",
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey + 5""",
     "noise_uniform": f"SELECT o_orderkey, round({_uniform('o_orderkey::VARCHAR', 'demo')}, 9) AS u FROM orders",
     "holdout_split": f"""SELECT o_orderkey, {_uniform('o_orderkey::VARCHAR', 'holdout', 42)} < 0.2::DOUBLE AS is_test FROM orders""",
     "merge_projects": _with(*TO_MERGED)
@@ -236,7 +271,7 @@ WHERE country IN (SELECT n_name FROM nation WHERE n_regionkey <> 4)""",
     "gdp_join": _with(*TO_MERGED, COLLAB, GDP, GROUPED)
     + """SELECT country, round(total_ec_contribution, 2) AS total_ec_contribution, total_projects, unique_orgs,
   round(coalesce(gdp_2023, 0), 2) AS gdp_2023, round(coalesce(total_ec_contribution / gdp_2023, 0), 6) AS ec_per_gdp
-FROM grouped LEFT JOIN (SELECT * FROM gdp WHERE iso2 <> 'NATION_3') ON country = iso2""",
+FROM grouped LEFT JOIN gdp ON country = 'NATION_' || (regexp_extract(iso2, '[0-9]+')::INT + 3)""",
     "participation_shares": _with(*TO_MERGED, COLLAB, GDP, GROUPED, BASE, SHARES)
     + """SELECT country, round(total_ec_contribution, 2) AS total_ec_contribution, total_projects, unique_orgs,
   round(funding_share, 6) AS funding_share, round(project_share, 6) AS project_share, round(org_share, 6) AS org_share
@@ -266,20 +301,36 @@ FROM weighted LEFT JOIN names ON country = code ORDER BY weighted."Weighted_Scor
     "candidate_phrases": _with(TOKENS, RUNS, CANDS) + "SELECT doc_id, phrase, tf FROM cands",
     "phrase_relevance": _with(*TO_RELEVANCE) + "SELECT doc_id, phrase, tf, df, score FROM relevance",
     "phrase_topk": _with(*TO_RELEVANCE, TOPK.format(k=20)) + "SELECT doc_id, phrase, score, rank FROM topk",
-    "phrase_diversify": _with(
-        *TO_RELEVANCE,
-        TOPK.format(k=8),
-        "sets AS (SELECT *, list_distinct(string_split(phrase, ' ')) AS words FROM topk)",
-        f"""choices AS (
-  SELECT a.doc_id, a.rank AS r1, b.rank AS r2, c.rank AS r3,
-         row_number() OVER (PARTITION BY a.doc_id ORDER BY
-           round({_alike('a', 'b')} + {_alike('a', 'c')} + {_alike('b', 'c')}, 9), a.rank, b.rank, c.rank) AS place
-  FROM sets a JOIN sets b ON a.doc_id = b.doc_id AND a.rank < b.rank
-  JOIN sets c ON a.doc_id = c.doc_id AND b.rank < c.rank
-  QUALIFY place = 1)""",
+    "phrase_diversify": _with(*TO_RELEVANCE, TOPK.format(k=20), *DIVERSE) + "SELECT doc_id, rank, phrase, score FROM diverse",
+    "keyphrase_extraction": _with(*TO_RELEVANCE, TOPK.format(k=20), *DIVERSE)
+    + "SELECT doc_id::VARCHAR AS project_id, string_agg(phrase, '; ' ORDER BY rank) AS phrases FROM diverse WHERE "
+    + " OR ".join(f"contains(phrase, '{s}')" for s in STEMS)
+    + " GROUP BY 1",
+    "keyphrases_artifact": _with(*TO_STEMMED)
+    + "SELECT doc_id::VARCHAR AS project_id, string_agg(phrase, '; ' ORDER BY rank) AS phrases FROM stemmed GROUP BY 1",
+    "source_top_words": _with(TOKENS)
+    + """SELECT 'topic_' || source AS topic, word, rank FROM (
+  SELECT source, word, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, word) AS rank
+  FROM (SELECT source, unnest(w) AS word FROM tokens JOIN documents USING (doc_id)) GROUP BY source, word) WHERE rank <= 15""",
+    "importance_training": _with(*TO_SCORED)
+    + "SELECT country, "
+    + ", ".join(f"round({m}, {2 if m.startswith(('total_ec', 'gdp')) else 6}) AS {m}" for m in METRICS)
+    + f""", round("Score", 6) AS "Score", {_uniform('country', 'holdout', 42)} < 0.2::DOUBLE AS is_test FROM scored""",
+    "importance_artifact": _with(*TO_SCORED)
+    + " UNION ALL ".join(
+        f"""SELECT '{m}' AS feature, round(abs(covar_pop({m}_scaled, "Score")), 6) AS importance FROM scored""" for m in METRICS
+    ),
+    "scores_with_gaps": _with(
+        *TO_MERGED, COLLAB, GDP, GROUPED, BASE,
+        SHARES.replace("FROM base", "FROM (SELECT * REPLACE (CASE WHEN NOT ends_with(country, '3') THEN ec_per_gdp END AS ec_per_gdp) FROM base)"),
+        GAPS,
     )
-    + """SELECT doc_id, rank, phrase, score FROM topk LEFT JOIN choices USING (doc_id)
-WHERE place IS NULL OR rank IN (r1, r2, r3)""",
+    + """SELECT country, round("Score", 6) AS "Score", round("Weighted_Score", 6) AS "Weighted_Score", is_placed FROM gaps""",
+    "projections_artifact": _with(*TO_PATHS, NAMES)
+    + f"""SELECT country, string_agg(printf('%.6f', score_improved), ',' ORDER BY year) AS score_improved,
+  coalesce(any_value(other.name), peer) AS top_country, {SUMMARY} FROM paths {PATH_NAMES} GROUP BY country, peer""",
+    "raw_text_features": _with(*TO_SCORED) + f"SELECT {FEATURE_COLUMNS} FROM scored",
+    "json_file_terms": "SELECT doc_id::VARCHAR AS project_id, unnest(string_split(text, '. ')) AS term FROM documents",
     "phrase_stem_filter": _with(*TO_STEMMED) + "SELECT doc_id, phrase, rank FROM stemmed",
     "project_keyphrases": _with(*TO_STEMMED)
     + "SELECT doc_id::VARCHAR AS project_id, string_agg(phrase, '; ' ORDER BY rank) AS phrases FROM stemmed GROUP BY 1",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscape.constants import METRICS, PROJECTION_SHOCKS
-from fundscape.functions import holds, lacks, matches_any, parse_eu_number, starts_with_any, to_number, uniform
+from fundscape.functions import holds, lacks, matches_any, parse_eu_number, starts_with_any, to_number, tokens, uniform
 from fundscape.operators import (
     clusters,
     explain,
@@ -21,9 +21,11 @@ from fundscape.operators import (
     serving,
 )
 from fundscape.plans import analysis, views
-from fundscape.session import apply_runtime_conf, scratch_path
+from fundscape.session import scratch_path, stored
 from fundscape.sources import (
     mark_missing,
+    read_json_shape,
+    read_stage,
     read_table,
     records_from_json,
     rows_from_json_columns,
@@ -39,13 +41,8 @@ NOTES = {"NATION_0": "Prepared summary of nation 0.", "NATION_1": "Prepared summ
 
 
 def query(fn: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_runtime_conf(spark)
-        return fn(spark, sf_dir)
-
-    run.__doc__ = fn.__doc__
-    QUERIES[fn.__name__] = run
-    return run
+    QUERIES[fn.__name__] = fn
+    return fn
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -114,7 +111,8 @@ def parse_money(spark, sf):
 
 @query
 def gdp_preprocess(spark, sf):
-    """Customers as an indicator table with some unusable values; a code maps to its nation."""
+    """Customers as an indicator table with some unusable values; a code maps to the
+    nation five places before, so the first codes have none."""
     customers = views.table(spark, sf, "customer")
     value = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
     raw = customers.select(
@@ -122,8 +120,8 @@ def gdp_preprocess(spark, sf):
         F.concat(F.lit("C"), F.col("c_nationkey")).alias("Country Code"),
         value.alias("2023"),
     )
-    codes = views.table(spark, sf, "nation").filter("n_regionkey <> 4").select(
-        F.concat(F.lit("C"), F.col("n_nationkey")).alias("iso3"), F.col("n_name").alias("iso2")
+    codes = views.table(spark, sf, "nation").select(
+        F.concat(F.lit("C"), F.col("n_nationkey") + 5).alias("iso3"), F.col("n_name").alias("iso2")
     )
     ready = features.preprocess_gdp(raw, codes)
     return ready.select("c_custkey", F.col("Country Code").alias("code"), "iso2", F.col("2023").alias("gdp_2023"))
@@ -133,7 +131,7 @@ def gdp_preprocess(spark, sf):
 def code_lookup(spark, sf):
     """Suppliers' nations by name; those without one keep NULL or their code."""
     suppliers = views.table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("code"))
-    codes = views.table(spark, sf, "nation").filter("n_regionkey <> 4").select(F.col("n_nationkey").cast("string"), "n_name")
+    codes = views.table(spark, sf, "nation").select((F.col("n_nationkey") + 5).cast("string"), "n_name")
     looked = features.map_codes(suppliers, "code", codes, "name")
     return features.map_codes(looked, "code", codes, "name_or_code", fallback=True)
 
@@ -172,7 +170,8 @@ def countries_per_project(spark, sf):
 
 @query
 def collab_flag(spark, sf):
-    flagged = participation.collab_flag(views.merged(spark, sf))
+    kept = views.relevant(spark, sf)
+    flagged = participation.flagged_participations(views.organizations(spark, sf), kept, drop=("id",))
     return flagged.select("projectID", "organisationID", "order", "country", "is_collab")
 
 
@@ -195,22 +194,25 @@ def country_ratios(spark, sf):
 @query
 def gdp_join(spark, sf):
     totals = features.group_totals(views.merged(spark, sf))
-    some = views.gdp(spark, sf).filter("iso2 <> 'NATION_3'")
-    return rounded(features.join_denominator(totals, some))
+    number = F.regexp_extract("iso2", "[0-9]+", 0).cast("int") + 3
+    shifted = views.gdp(spark, sf).withColumn("iso2", F.concat(F.lit("NATION_"), number))
+    return rounded(features.join_denominator(totals, shifted))
 
 
 @query
 def participation_shares(spark, sf):
     totals = features.keep_members(features.group_totals(views.merged(spark, sf)), views.members(spark, sf))
-    return rounded(features.participation_shares(analysis.keep(totals)))
+    return rounded(features.participation_shares(stored(totals, "totals")))
 
 
 def _features(spark, sf):
-    return analysis.country_features(views.flagged(spark, sf), views.gdp(spark, sf), views.members(spark, sf))
+    return analysis.country_features(
+        views.flagged(spark, sf), views.gdp(spark, sf), views.members(spark, sf), lambda df: stored(df, "base")
+    )
 
 
 def _scored(spark, sf):
-    return analysis.keep(analysis.scored_countries(_features(spark, sf)))
+    return stored(analysis.scored_countries(_features(spark, sf)), "scored")
 
 
 def _weighted(spark, sf):
@@ -280,8 +282,7 @@ def country_scores(spark, sf):
 
 @query
 def ranked_contributions(spark, sf):
-    nations = views.table(spark, sf, "nation").filter("n_nationkey < 10")
-    names = nations.select("n_name", F.concat(F.lit("Nation no. "), F.col("n_nationkey")))
+    names = views.shifted_names(spark, sf, 5)
     scores = _weighted(spark, sf).select("country", "Weighted_Score")
     return rounded(serving.ranked_contributions(scores, names))
 
@@ -297,14 +298,14 @@ def _candidates(spark, sf):
     return keyphrases.candidate_phrases(_texts(spark, sf), "doc_id", "text", stop_words=views.STOP_WORDS)
 
 
-def _scored_phrases(spark, sf):
+def _scored_phrases(spark, sf, best=None):
     texts = _texts(spark, sf)
     frequencies = keyphrases.phrase_frequencies(texts, "doc_id", "text", stop_words=views.STOP_WORDS)
-    return keyphrases.phrase_relevance(_candidates(spark, sf), texts, "doc_id", frequencies)
+    return keyphrases.phrase_relevance(_candidates(spark, sf), texts, "doc_id", frequencies, best)
 
 
 def _topk(spark, sf, k=20):
-    return keyphrases.phrase_topk(_scored_phrases(spark, sf), k, "doc_id")
+    return keyphrases.phrase_topk(_scored_phrases(spark, sf, k), k, "doc_id")
 
 
 @query
@@ -331,7 +332,7 @@ def phrase_topk(spark, sf):
 
 @query
 def phrase_diversify(spark, sf):
-    return keyphrases.phrase_diversify(_topk(spark, sf, 8), 3, "doc_id")
+    return keyphrases.phrase_diversify(_topk(spark, sf), 5, "doc_id")
 
 
 @query
@@ -383,6 +384,14 @@ def cluster_top_words(spark, sf):
     )
 
 
+@query
+def source_top_words(spark, sf):
+    """The top words of given groups: the documents' sources."""
+    docs = views.table(spark, sf, "documents")
+    words = docs.select(F.col("source").alias("cluster"), tokens(F.col("text"), views.STOP_WORDS).alias("words"))
+    return clusters.cluster_top_words(words)
+
+
 # -- explanation ---------------------------------------------------------------------
 
 
@@ -391,15 +400,39 @@ def feature_importance(spark, sf):
     return explain.feature_importance(_scored(spark, sf), METRICS, "Score")
 
 
-@query
-def importance_percent(spark, sf):
-    """Percentages of a linear importance: each metric's absolute covariance with the score."""
+def _covariances(spark, sf):
+    """A linear importance: each metric's absolute covariance with the score."""
     scored = _scored(spark, sf)
     covariances = [
         F.struct(F.lit(m).alias("feature"), F.abs(F.covar_pop(m + "_scaled", "Score")).alias("importance")) for m in METRICS
     ]
-    table = scored.agg(F.array(*covariances).alias("a")).select(F.inline("a"))
-    return rounded(serving.importance_percent(analysis.keep(table)))
+    return scored.agg(F.array(*covariances).alias("a")).select(F.inline("a"))
+
+
+@query
+def importance_percent(spark, sf):
+    return rounded(serving.importance_percent(stored(_covariances(spark, sf), "importance")))
+
+
+@query
+def importance_training(spark, sf):
+    """What the importance models are fitted on."""
+    return rounded(explain.training_frame(_scored(spark, sf), METRICS, "Score"))
+
+
+def _gaps(spark, sf):
+    """Scores with one metric missing for the nations whose number ends in 3."""
+    base = stored(analysis.base_features(views.flagged(spark, sf), views.gdp(spark, sf), views.members(spark, sf)), "base")
+    base = base.withColumn("ec_per_gdp", F.when(~F.col("country").endswith("3"), F.col("ec_per_gdp")))
+    scaled = scoring.minmax_scale(features.participation_shares(base), METRICS)
+    return stored(analysis.scored_countries(scoring.row_mean(scaled, analysis.SCALED)), "gaps")
+
+
+@query
+def scores_with_gaps(spark, sf):
+    """A missing metric through scaling, scores and the map: every row stays."""
+    placed = explain.embedding_2d(_gaps(spark, sf))
+    return rounded(placed.select("country", "Score", "Weighted_Score", F.col("x_2d").isNotNull().alias("is_placed")))
 
 
 @query
@@ -415,8 +448,7 @@ def _paths(spark, sf, **kw):
 
 
 def _report(spark, sf):
-    nations = views.table(spark, sf, "nation").filter("n_nationkey < 10")
-    names = nations.select("n_name", F.concat(F.lit("Nation no. "), F.col("n_nationkey")))
+    names = views.shifted_names(spark, sf, 5)
     return projection.projection_report(_paths(spark, sf), names=names, summaries=NOTES)
 
 
@@ -525,6 +557,77 @@ def json_artifact_roundtrip(spark, sf):
     return rounded(read_table(spark, path, schemas.COUNTRY_SCORES, "json"))
 
 
+@query
+def json_file_terms(spark, sf):
+    """Documents as JSON objects in files of one per line, read back by shape."""
+    path = scratch_path(spark, "json-files")
+    docs = views.texts(spark, sf).select(
+        F.to_json(F.create_map(F.col("doc_id").cast("string"), F.split("text", r"\. "))).alias("value")
+    )
+    docs.write.text(path)
+    return read_json_shape(spark, path, "map")
+
+
+@query
+def keyphrases_artifact(spark, sf):
+    """The keyphrases a dashboard reads, through JSON lines."""
+    path = scratch_path(spark, "artifacts")
+    kept = keyphrases.filter_phrases(_topk(spark, sf), views.STEMS)
+    write_artifact(keyphrases.project_keyphrases(kept, "doc_id"), f"{path}/project_keyphrases", "json")
+    return read_stage(spark, path, "project_keyphrases").withColumn("phrases", F.array_join("phrases", "; "))
+
+
+@query
+def projections_artifact(spark, sf):
+    """The projections a dashboard reads, through JSON lines."""
+    path = scratch_path(spark, "artifacts")
+    write_artifact(_report(spark, sf), f"{path}/country_projections", "json")
+    read = read_stage(spark, path, "country_projections")
+    return read.select("country", _six_places("score_improved").alias("score_improved"), "top_country", "summary")
+
+
+@query
+def importance_artifact(spark, sf):
+    """Importances by covariance, as a dashboard reads them, through JSON lines."""
+    path = scratch_path(spark, "artifacts")
+    write_artifact(_covariances(spark, sf), f"{path}/feature_importance", "json")
+    return rounded(read_stage(spark, path, "feature_importance"))
+
+
+@query
+def raw_text_features(spark, sf):
+    """From text columns end to end: projects, organisations and GDP written as CSV with
+    European money, read with their schemas, then merged, flagged, parsed and aggregated."""
+    path = scratch_path(spark, "raw")
+
+    def money(col):
+        """1.234,56 from a number."""
+        english = F.format_number(F.col(col), 2)
+        return F.translate(english, ",.", ".,")
+
+    def as_csv(df, schema, name):
+        have = set(df.columns)
+        full = df.select(*[
+            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        ])
+        write_artifact(full, f"{path}/{name}", "csv")
+        return read_table(spark, f"{path}/{name}", schema, "csv", multiline=True)
+
+    projects = views.projects(spark, sf).withColumn("totalCost", money("totalCost"))
+    orgs = views.organizations(spark, sf)
+    orgs = orgs.withColumns({c: money(c) for c in ("ecContribution", "netEcContribution", "totalCost")})
+    balances = views.gdp(spark, sf).select(F.col("iso2").alias("Country Code"), F.col("2023").cast("decimal(20, 2)").cast("string").alias("2023"))
+    merged = analysis.merge_stage(
+        as_csv(projects, schemas.PROJECT, "project"), as_csv(orgs, schemas.ORGANIZATION, "organization"), views.PREFIXES, views.PATTERN
+    )
+    gdp = as_csv(balances, schemas.GDP, "gdp")
+    codes = views.table(spark, sf, "nation").select(F.col("n_name").alias("iso3"), F.col("n_name").alias("iso2"))
+    flagged = participation.parse_money(stored(merged, "merged"))
+    ready = features.preprocess_gdp(gdp, codes)
+    table = analysis.country_features(flagged, ready, views.members(spark, sf), lambda df: stored(df, "base"))
+    return rounded(table)
+
+
 @query
 def json_records(spark, sf):
     """Each line item as a JSON list of two records."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fundscape.operators.participation import flagged_participations, merge_participations
 from fundscape.operators.relevance import select_relevant
@@ -19,15 +18,9 @@ STOP_WORDS = (
 STEMS = ("tion", "ment", "ing")
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a test table. Its schema is inferred once; later reads need no job for it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return read_table(spark, path, _schemas[path])
+    """Scan a test table."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,3 +94,13 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def shifted_names(spark: SparkSession, sf_dir: str, by: int) -> DataFrame:
+    """Every nation's name under the code of the nation ``by`` places on, so that the first
+    nations' codes have no name: ``(code, name)``."""
+    nation = table(spark, sf_dir, "nation")
+    return nation.select(
+        F.concat(F.lit("NATION_"), F.col("n_nationkey") + by).alias("code"),
+        F.concat(F.lit("Nation no. "), F.col("n_nationkey")).alias("name"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the plans rely on. Skewed joins are split by AQE even where the
 # split costs one more exchange, so that a single hot key never sits in one task.
@@ -34,20 +34,27 @@ def build_session(
     return builder.getOrCreate()
 
 
-def apply_runtime_conf(spark: SparkSession) -> None:
-    """Bring a session made elsewhere to the same runtime settings."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+_own: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting gets a temporary folder of its own."""
+    A cluster must have that setting. A local session without it, as in tests, gets one
+    temporary folder per process; the session's settings stay as they are."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="fundscape-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="fundscape-"))
+        base = _own[0]
     return f"{base.rstrip('/')}/fundscape-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several outputs read to the scratch folder and read it again.
+    Nothing stays in executor memory, and no later job depends on this one's executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,14 +45,14 @@ def rows_from_json_map(
 
 
 def read_json_shape(
-    spark: SparkSession, path: str, shape: str, fields: dict[str, str] | None = None, lines: bool = False
+    spark: SparkSession, path: str, shape: str, fields: dict[str, str] | None = None, lines: bool = True
 ) -> DataFrame:
     """Read JSON files of a stated shape.
 
     ``records`` and ``columns`` need ``fields`` (name -> type); ``map`` gives
-    ``(project_id, term)``; ``raw`` gives the text as it is. A file holding one
-    document is one row; with ``lines`` every line is a document, and a large file is
-    split among tasks."""
+    ``(project_id, term)``; ``raw`` gives the text as it is. Every line is a document,
+    and a large file is split among tasks; with ``lines=False`` a file is one document
+    and is read by one task."""
     if shape not in SHAPES:
         raise ValueError(f"shape must be one of {SHAPES}")
     docs = spark.read.text(path, wholetext=not lines)

@@ -7,17 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a table given as a Python collection may have to be broadcast.
+# Up to so many rows a table given as a Python collection is broadcast.
 SMALL_ROWS = 10_000
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A parameter table with the broadcast hint. Its size is that of the Python
-    collection, and it is checked; larger tables must come as DataFrames, which get no
-    hint and are joined as Spark sees fit."""
-    if len(rows) > SMALL_ROWS:
-        raise ValueError(f"{len(rows)} rows are too many for a parameter table; pass a DataFrame")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A parameter table. Its size is that of the Python collection; up to SMALL_ROWS it
+    gets the broadcast hint, above that it is joined as Spark sees fit, with the same result."""
+    table = spark.createDataFrame(list(rows), schema)
+    return F.broadcast(table) if len(rows) <= SMALL_ROWS else table
 
 
 def parameter_table(

@@ -10,9 +10,9 @@ from fundscape.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session(
-        "tests", "local[4]", 4, **{"spark.ui.enabled": "false", "spark.driver.memory": "4g"}
-    )
+    folder = str(tmp_path_factory.mktemp("shared"))
+    settings = {"spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.checkpoint.dir": folder}
+    session = build_session("tests", "local[4]", 4, **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

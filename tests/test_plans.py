@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry
 from fundscape.functions import starts_with_any
+from fundscape.operators import keyphrases
 from fundscape.plans import queries, views
 from pyspark.sql import functions as F
 
@@ -24,23 +25,23 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<l_discount:double>" in text and "Exchange hashpartitioning" not in text
 
 
-def test_no_query_has_a_cross_join(spark):
-    for name, query in entry.queries().items():
-        if name in ("text_clusters", "cluster_top_words", "feature_importance", "embedding_2d"):
-            continue
-        text = plan(query(spark, SF))
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
-    spark.catalog.clearCache()
-
-
 def test_counting_phrases_needs_no_shuffle_of_its_own(spark):
     text = plan(queries._candidates(spark, SF))
     assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(doc_id" in text
 
 
-def test_best_phrases_are_cut_before_the_shuffle(spark):
-    text = plan(entry.queries()["phrase_topk"](spark, SF))
-    assert "row_number(), 20, Partial" in text and "row_number(), 1, Partial" in text
+def test_few_candidates_enter_the_second_shuffle(spark):
+    every = queries._scored_phrases(spark, SF)
+    some = queries._scored_phrases(spark, SF, 20)
+    few, many = some.count(), every.count()
+    assert few < many / 2
+    assert keyphrases.phrase_topk(some, 20, "doc_id").exceptAll(keyphrases.phrase_topk(every, 20, "doc_id")).isEmpty()
+
+
+def test_wide_participations_are_scanned_and_shuffled_once(spark):
+    text = plan(queries.collab_flag(spark, SF))
+    wide = [x for x in text.splitlines() if "FileScan parquet" in x and "l_linenumber" in x]
+    assert len(wide) == 1
 
 
 def test_top_terms_is_a_bounded_top_k(spark):

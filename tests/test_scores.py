@@ -158,8 +158,36 @@ def test_quantiles_by_ranges_equal_percentile(spark, kind):
     df = spark.range(n).selectExpr(f"{expr} as v")
     probs = [0.0, 0.1, 0.2, 1 / 3, 0.5, 0.77, 0.999, 1.0]
     want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]))).first()[0]
-    assert exact_quantiles(df, "v", probs, single_rows=0) == pytest.approx(want, abs=1e-9)
-    assert exact_quantiles(df.repartition(13), "v", probs, single_rows=0) == pytest.approx(want, abs=1e-9)
+    assert exact_quantiles(df, "v", probs, few=20, accuracy=50) == pytest.approx(want, abs=1e-9)
+    assert exact_quantiles(df.repartition(13), "v", probs, few=20, accuracy=50) == pytest.approx(want, abs=1e-9)
+
+
+def test_quantiles_of_ten_times_as_many_values(spark):
+    for n in (20_000, 200_000):
+        df = spark.range(n).selectExpr("cast(pmod(hash(id), 1000003) as double) as v")
+        probs = [0.2, 0.4, 0.6, 0.8]
+        want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]))).first()[0]
+        assert exact_quantiles(df, "v", probs, few=500, accuracy=1000) == pytest.approx(want, abs=1e-9)
+
+
+def test_map_keeps_every_row(spark):
+    data = [(f"c{i}", float(i), float(i * i % 7), None if i == 3 else float(i % 3)) for i in range(10)]
+    df = spark.createDataFrame(data, "country string, a double, b double, c double")
+    got = {r["country"]: (r["x_2d"], r["y_2d"]) for r in explain.embedding_2d(df, ["a", "b", "c"]).collect()}
+    assert len(got) == 10 and got["c3"] == (None, None) and all(None not in v for k, v in got.items() if k != "c3")
+    empty = explain.embedding_2d(df.withColumn("b", F.lit(None).cast("double")), ["a", "b", "c"])
+    assert empty.count() == 10 and empty.filter("x_2d IS NULL").count() == 1
+    nothing = explain.embedding_2d(df.withColumn("a", F.lit(None).cast("double")), ["a"])
+    assert nothing.filter("x_2d IS NULL").count() == 10
+
+
+def test_importance_names_missing_values(spark):
+    data = [(f"c{i}", float(i), None if i % 4 == 3 else float(i % 3), float(i)) for i in range(30)]
+    df = spark.createDataFrame(data, "country string, a double, b double, Score double")
+    with pytest.raises(ValueError, match="b"):
+        explain.feature_importance(df, ["a", "b"], trees=3)
+    got = explain.feature_importance(df, ["a", "b"], trees=3, drop_incomplete=True).collect()
+    assert sum(r["importance"] for r in got) == pytest.approx(1) and all(r["importance"] >= 0 for r in got)
 
 
 def test_average_row_and_ramp(spark):

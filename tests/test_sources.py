@@ -47,15 +47,15 @@ def test_json_shapes(spark, tmp_path):
 
     records = put("a.json", [{"feature": "x", "importance": 0.5}, {"feature": "y", "importance": None}])
     fields = {"feature": "string", "importance": "double"}
-    assert [tuple(r) for r in read_json_shape(spark, records, "records", fields).collect()] == [("x", 0.5), ("y", None)]
+    assert [tuple(r) for r in read_json_shape(spark, records, "records", fields, lines=False).collect()] == [("x", 0.5), ("y", None)]
     columns = put("b.json", {"country": ["MT", "CY"], "score": [0.1, 0.2]})
-    got = read_json_shape(spark, columns, "columns", {"country": "string", "score": "double"})
+    got = read_json_shape(spark, columns, "columns", {"country": "string", "score": "double"}, lines=False)
     assert got.columns == ["country", "score"] and [tuple(r) for r in got.collect()] == [("MT", 0.1), ("CY", 0.2)]
     lists = put("c.json", {"1": ["a", "b"], "2": [], "3": ["c"]})
-    assert [tuple(r) for r in read_json_shape(spark, lists, "map").collect()] == [("1", "a"), ("1", "b"), ("3", "c")]
+    assert [tuple(r) for r in read_json_shape(spark, lists, "map", lines=False).collect()] == [("1", "a"), ("1", "b"), ("3", "c")]
     even = put("d.json", {"1": ["a", "b"], "2": ["c", "d"]})
-    assert read_json_shape(spark, even, "map").columns == ["project_id", "term"]
-    assert read_json_shape(spark, lists, "raw").count() == 1
+    assert read_json_shape(spark, even, "map", lines=False).columns == ["project_id", "term"]
+    assert read_json_shape(spark, lists, "raw", lines=False).count() == 1
     with pytest.raises(ValueError):
         read_json_shape(spark, lists, "guess")
 
@@ -65,9 +65,12 @@ def test_distinct_keeps_null(spark):
     assert distinct_values(df, "status").count() == 2
 
 
-def test_small_table_size_is_checked(spark):
-    with pytest.raises(ValueError, match="too many"):
-        small_table(spark, [(i,) for i in range(10_001)], "i int")
+def test_small_table_is_broadcast_up_to_a_size(spark):
+    for n, hinted in ((10_000, True), (10_001, False)):
+        table = small_table(spark, [(i,) for i in range(n)], "i int")
+        assert table.count() == n
+        assert ("broadcast" in table._jdf.queryExecution().logical().toString()) == hinted
+
 
 
 def test_scratch_path_follows_the_session(spark):

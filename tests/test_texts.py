@@ -74,8 +74,8 @@ def test_hot_phrases_do_not_change_results(spark, monkeypatch):
     df = keyphrases.one_text_per_key(texts(spark))
     cands = keyphrases.candidate_phrases(df, stop_words=STOP)
     every = []
-    for hot in (1, 3, 1000):
-        monkeypatch.setattr(keyphrases, "HOT_PHRASES", hot)
+    for share in (0.0, 0.3, 1.0):
+        monkeypatch.setattr(keyphrases, "HOT_SHARE", share)
         every.append(sorted(tuple(r) for r in keyphrases.phrase_relevance(cands, df).collect()))
     assert every[0] == every[1] == every[2]
 
