@@ -77,12 +77,15 @@ class Ends:
                     ranges.append((int(self.at[i - 1]) if i else 0, int(self.at[i])))
         return sorted(set(ranges))
 
-    def learn(self, asked: list[tuple[int, int]], rows: list[tuple[int, bool]]) -> None:
-        """Add ends found in the asked stretches; each says if more lie before it."""
+    def learn(self, asked: list[tuple[int, int]], pieces: list[tuple[int, int, int]]) -> None:
+        """Add the first and last end of pieces of the asked stretches, which hold n ends
+        each; only between those two can more lie."""
         for _, b in asked:
             self.open_before[np.searchsorted(self.at, b)] = False
         known = dict(zip(self.at.tolist(), self.open_before.tolist(), strict=True))
-        known.update({e: o for e, o in rows})
+        for first, last, n in pieces:
+            known[first] = False
+            known[last] = n > 2
         self.at = np.asarray(sorted(known), np.int64)
         self.open_before = np.asarray([known[int(e)] for e in self.at])
 
@@ -97,14 +100,12 @@ def minimax_cuts(groups: DataFrame, shards: int, resolution: int = RESOLUTION) -
     ends = Ends(top[0])
     low, high, asked = top[1], top[0], [(0, top[0])]
     while asked:
-        width = sum(b - a for a, b in asked)
-        step = max(1, width // resolution)
-        starts, stops = [a for a, _ in asked], [b for _, b in asked]
+        pieces = max(2, resolution // len(asked))  # of every stretch, so that each round gets on
         found = (
-            _inside(groups, starts, stops)
-            .groupBy("stretch", F.expr(f"(end - 1) div {step}").alias("piece"))
-            .agg(F.max("end").alias("end"), F.count("*").alias("n"))
-            .select("end", F.col("n") > 1)
+            _inside(groups, asked, pieces)
+            .groupBy("stretch", "piece")
+            .agg(F.min("end").alias("first"), F.max("end").alias("last"), F.count("*").alias("n"))
+            .select("first", "last", "n")
         )
         ends.learn(asked, [tuple(r) for r in found.collect()])
         low = max(low, ends.least(shards, low, True))
@@ -115,11 +116,15 @@ def minimax_cuts(groups: DataFrame, shards: int, resolution: int = RESOLUTION) -
     return high, ends.walk(high, False)
 
 
-def _inside(groups: DataFrame, starts: list[int], stops: list[int]) -> DataFrame:
-    """Groups whose end lies in one of few sorted, disjoint stretches, with its number."""
-    # The last stretch that starts before the end; the list is short after the first round.
-    n = F.size(F.filter(F.lit(starts), lambda a: a < F.col("end"))) - 1
-    return groups.withColumn("stretch", n).filter((F.col("stretch") >= 0) & (F.col("end") <= F.get(F.lit(stops), F.col("stretch"))))
+def _inside(groups: DataFrame, asked: list[tuple[int, int]], pieces: int) -> DataFrame:
+    """Groups whose end lies in one of few sorted, disjoint stretches, with the number of
+    the stretch and of the piece of it."""
+    starts, stops = F.lit([a for a, _ in asked]), F.lit([b for _, b in asked])
+    steps = F.lit([max(1, -(-(b - a) // pieces)) for a, b in asked])
+    n = F.size(F.filter(starts, lambda a: a < F.col("end"))) - 1  # the last stretch that starts before the end
+    inside = groups.withColumn("stretch", n).filter((F.col("stretch") >= 0) & (F.col("end") <= F.get(stops, F.col("stretch"))))
+    at = F.col("end") - F.get(starts, F.col("stretch")) - 1
+    return inside.withColumn("piece", F.floor(at / F.get(steps, F.col("stretch"))))
 
 
 def running(docs: DataFrame, path: str, id_col: str, text: str, overhead: int) -> DataFrame:
