@@ -20,6 +20,8 @@ import io
 import json
 import os
 import re
+import sys
+import types
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -122,6 +124,15 @@ class Encoder:
         return b"".join(map(self._piece, text.replace("\n", " ").split(" ")))
 
 
+def encoder_of(path: str) -> Encoder:
+    """This worker process's encoder of a file. Tasks get their functions anew, so it is
+    held by a module of the process; its caches are bounded."""
+    held = sys.modules.setdefault("fundscape_worker_cache", types.ModuleType("fundscape_worker_cache")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def key_hashes(key: str) -> list[Column]:
     """Two 64-bit hashes of a key; a null key has hashes of its own."""
     k = F.col(f"`{key}`").cast("string")
@@ -145,7 +156,7 @@ def write_store(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, offsets, pid = Encoder(tokenizer), [0], None
+        encode, offsets, pid = encoder_of(tokenizer), [0], None
         end = np.asarray([end_id], encode.dtype).tobytes()
         name = uuid.uuid4().hex
         pending: list[pa.RecordBatch] = []
@@ -183,8 +194,7 @@ def write_store(
 
     wrote = stored(rows.mapInArrow(write, "h1 long, h2 long, pid int, row long, file string, ids long"), f"{path}/rows")
     shards = sorted((r.pid, r.file, r.row, r.ids) for r in wrote.filter("file is not null").select("pid", "file", "row", "ids").collect())
-    vocabulary_width = Encoder(tokenizer).dtype.itemsize
-    store = {"path": path, "width": vocabulary_width, "files": [s[1] for s in shards], "row_base": [], "id_base": []}
+    store = {"path": path, "width": encoder_of(tokenizer).dtype.itemsize, "files": [s[1] for s in shards], "row_base": [], "id_base": []}
     n_rows = n_ids = 0
     for _, _, rows_here, ids_here in shards:
         store["row_base"].append(n_rows)
