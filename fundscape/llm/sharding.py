@@ -1,7 +1,9 @@
 """Minimax contiguous partition of ordered, atomic groups into shards.
 
-Groups are rows with equal texts, ordered by the digest of the text (rows within a group
-by id), and a group is never cut. The answer is the smallest capacity with which a greedy
+Groups are rows with equal texts, and a group is never cut. A group larger than an even
+share of what is left comes first in the order and gets a shard of its own, so that it
+cannot raise the capacity of the others; the rest is ordered by the digest of the text
+(rows within a group by id). The answer for the rest is the smallest capacity with which a greedy
 walk over the group sizes needs no more than the wanted shards, found by binary search;
 the walk at that capacity gives the cuts.
 
@@ -127,9 +129,23 @@ def _inside(groups: DataFrame, asked: list[tuple[int, int]], pieces: int) -> Dat
     return inside.withColumn("piece", F.floor(at / F.get(steps, F.col("stretch"))))
 
 
-def running(docs: DataFrame, path: str, id_col: str, text: str, overhead: int) -> DataFrame:
-    """id, size, text_crc32, digest, ``row`` (from 0) and ``upto``, the running sum of
-    sizes, over all rows in the order of digest and id."""
+def oversized(sizes: DataFrame, shards: int) -> list[tuple[bytes, int]]:
+    """Digest and size of the groups larger than an even share of what is left for the
+    shards still free, largest first; fewer than ``shards`` of them."""
+    groups = sizes.groupBy("digest").agg(F.sum("size").alias("size"))
+    left, out = sizes.agg(F.sum("size")).first()[0] or 0, []
+    for digest, size in groups.orderBy(F.desc("size"), "digest").limit(shards - 1).collect():
+        if size * (shards - len(out)) <= left:
+            break
+        out.append((bytes(digest), size))
+        left -= size
+    return out
+
+
+def running(docs: DataFrame, shards: int, path: str, id_col: str, text: str, overhead: int) -> tuple[DataFrame, list[int]]:
+    """id, size, text_crc32, digest, ``own`` (the number of an oversized group, or how many
+    there are), ``row`` (from 0) and ``upto``, the running sum of sizes, over all rows in the
+    order of own, digest and id; and the sizes of the oversized groups."""
     spark = docs.sparkSession
     t = text_or_empty(F.col(f"`{text}`"))
     narrow = docs.select(
@@ -139,7 +155,10 @@ def running(docs: DataFrame, path: str, id_col: str, text: str, overhead: int) -
         F.unhex(F.sha2(t, 256)).alias("digest"),
     )
     narrow = stored(narrow, f"{path}/sizes")
-    order = [F.col("digest"), F.col("id").asc_nulls_first()]
+    large = oversized(narrow, shards)
+    own = F.coalesce(*[F.when(F.col("digest") == F.lit(d), i) for i, (d, _) in enumerate(large)], F.lit(len(large)))
+    narrow = narrow.withColumn("own", own)
+    order = [F.col("own"), F.col("digest"), F.col("id").asc_nulls_first()]
     ranges = narrow.repartitionByRange(partitions(spark), *order).withColumn("pid", F.spark_partition_id())
     ranges = stored(ranges, f"{path}/ranges")
     totals = sorted(ranges.groupBy("pid").agg(F.count("*"), F.sum("size")).collect())
@@ -154,7 +173,7 @@ def running(docs: DataFrame, path: str, id_col: str, text: str, overhead: int) -
         (F.row_number().over(w) - 1 + F.get(F.lit(rows_before), F.col("pid"))).alias("row"),
         (F.sum("size").over(upto) + F.get(F.lit(size_before), F.col("pid"))).alias("upto"),
     )
-    return stored(placed.drop("pid"), f"{path}/running")
+    return stored(placed.drop("pid"), f"{path}/running"), [size for _, size in large]
 
 
 def shard_by_bytes(
@@ -163,9 +182,13 @@ def shard_by_bytes(
 ) -> DataFrame:
     """id_col, size, text_crc32, shard, slot, and ``capacity``, the largest shard's bound."""
     path = path or shared_dir(docs.sparkSession, "sharding")
-    rows = running(docs, path, id_col, text, overhead)
-    groups = rows.groupBy("digest").agg(F.max("upto").alias("end"), F.sum("size").alias("size")).select("end", "size")
-    capacity, cuts = minimax_cuts(stored(groups, f"{path}/groups"), shards, resolution)
+    rows, large = running(docs, shards, path, id_col, text, overhead)
+    before = np.cumsum(large, dtype=np.int64).tolist()
+    base = before[-1] if large else 0
+    rest = rows.filter(F.col("own") == len(large)).groupBy("digest")
+    groups = rest.agg((F.max("upto") - base).alias("end"), F.sum("size").alias("size")).select("end", "size")
+    capacity, cuts = minimax_cuts(stored(groups, f"{path}/groups"), shards - len(large), resolution)
+    capacity, cuts = max([capacity, *large]), [*before, *[base + c for c in cuts]]
     inner = F.lit(cuts[:-1]).cast("array<bigint>")
     shard = F.size(F.filter(inner, lambda c: c < F.col("upto"))).cast("int")
     rows = rows.withColumn("shard", shard)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fundscape.llm import exact_dedup, mixing, sharding, token_store, warc
 from fundscape.llm.common import shared_dir
@@ -36,9 +37,15 @@ def check_shards(docs, shards, **options):
     groups = defaultdict(int)
     for (_, t), (_, size, _) in zip(texts, want, strict=True):
         groups[hashlib.sha256((t or "").encode()).digest()] += size
+    large, left = [], sum(groups.values())
+    for k in sorted(groups, key=lambda k: (-groups[k], k)):  # groups above an even share are alone
+        if len(large) == shards - 1 or groups[k] * (shards - len(large)) <= left:
+            break
+        large.append(groups.pop(k))
+        left -= large[-1]
     sizes = [groups[k] for k in sorted(groups)]
     if got:
-        assert {r[5] for r in got} == {greedy_capacity(sizes, shards)}
+        assert {r[5] for r in got} == {max([greedy_capacity(sizes, shards - len(large)), *large])}
     by = defaultdict(list)
     for _, size, _, shard, slot, capacity in got:
         by[shard].append((slot, size))
@@ -59,8 +66,19 @@ def test_shards_are_minimax(spark, resolution):
     check_shards(read(spark, "documents"), 24, resolution=resolution)
 
 
+def test_large_groups_leave_even_shards(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "a copy").when(F.col("id") % 7 == 0, "another copy").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"),
+    )
+    check_shards(docs, 8)
+    sizes = [r[0] for r in sharding.shard_by_bytes(docs, 8).groupBy("shard").agg(F.sum("size").alias("n")).orderBy(F.desc("n")).select("n").collect()]
+    assert len(sizes) == 8 and sizes[2] - sizes[-1] < 0.02 * sizes[2]
+
+
 def test_shards_awkward_tables(spark):
     check_shards(awkward(spark), 4)
+    check_shards(awkward(spark), 1)
     check_shards(awkward(spark), 40)
     assert sharding.shard_by_bytes(empty(spark), 3).count() == 0
 
