@@ -60,20 +60,28 @@ _letters: list[np.ndarray] = []
 def letters() -> np.ndarray:
     """For each code point of the basic plane its lower-case letter, else a space."""
     if not _letters:
-        low = [chr(c).lower() if not 0xD800 <= c < 0xE000 and chr(c).isalpha() else " " for c in range(1 << 16)]
-        _letters.append(np.asarray([ord(x[0]) for x in low], np.uint32))
+        _letters.append(np.asarray([letter(c) for c in range(1 << 16)], np.uint32))
     return _letters[0]
 
 
+def letter(point: int) -> int:
+    """The lower-case letter of a code point, else a space."""
+    return ord(chr(point).lower()[0]) if chr(point).isalpha() else 32
+
+
 def grams(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Buckets of 1-, 2- and 3-grams at every place of all texts in a row, the texts' first
     places (a space stands before each and two at the end), and letters per text."""
     table = letters()
     points = np.frombuffer("".join(f" {t or ''}" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     starts = np.cumsum([0, *[len(t or "") + 1 for t in texts[:-1]]])
-    points = np.where(points < 1 << 16, table[np.minimum(points, 0xFFFF)], points)
-    letter = (points != 32).astype(np.int64)
-    n_letters = np.add.reduceat(letter, starts)
+    far = points >= 1 << 16
+    low = table[np.where(far, 32, points)]
+    if far.any():
+        found, which = np.unique(points[far], return_inverse=True)
+        low[far] = np.asarray([letter(c) for c in found.tolist()], np.uint32)[which]
+    points = low
+    n_letters = np.add.reduceat((points != 32).astype(np.int64), starts)
     p = np.concatenate([points, [32, 32]]).astype(np.uint32)
     one = p * np.uint32(0x9E3779B1)
     two = one[:-1] ^ (p[1:] * np.uint32(0x85EBCA77)) ^ np.uint32(0x27D4EB2F)

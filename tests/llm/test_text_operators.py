@@ -111,6 +111,8 @@ def test_language_awkward_tables(spark):
     assert model.languages == ["en", "fr"]
     got = {r[0]: r[1:] for r in rows(language_id.identify(table.withColumnRenamed("h", "language"), model), "doc_id", "language_.lang", "language_.score")}
     assert {d for d, (lang, _) in got.items() if lang == "und"} == {1, 2, 3, 11}
+    assert [x[0] for x in model.predict(["\U0001F600 12", "\u2460 \U0001D7CE"])] == ["und", "und"]  # no letters
+    assert model.predict(["\U00010400 a"])[0][0] != "und"
     assert language_id.identify(empty(spark), model).count() == 0
     nothing = language_id.fit(empty(spark))
     assert {r[0] for r in rows(language_id.identify(table, nothing), "language.lang")} == {"und"}
