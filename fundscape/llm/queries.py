@@ -145,4 +145,29 @@ SQL: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), grams AS (
+            SELECT r, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS g
+            FROM docs, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p(i) WHERE len(w) > 0
+        ), sets AS MATERIALIZED (SELECT r, list_sort(list(DISTINCT g)) AS s FROM grams GROUP BY r
+        ), classes AS MATERIALIZED (
+            SELECT row_number() OVER () AS c, s, len(s) AS n, min(doc_id) AS rep, count(*) AS weight
+            FROM sets JOIN docs USING (r) GROUP BY s
+        ), items AS (SELECT c, n, unnest(s) AS g FROM classes
+        ), pairs AS (
+            SELECT a.c AS a, b.c AS b FROM items a JOIN items b ON a.g = b.g AND a.c < b.c
+            GROUP BY a.c, b.c, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n)
+        ), links AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+        ), reach(c, other) AS (
+            SELECT c, c FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON reach.other = links.a
+        ), joined AS (SELECT reach.c, min(o.rep) AS class_id FROM reach JOIN classes o ON reach.other = o.c GROUP BY reach.c
+        ), counts AS (SELECT a AS c, sum(weight) AS n FROM links JOIN classes ON b = c GROUP BY a
+        )
+        SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id,
+               coalesce(weight - 1 + coalesce(counts.n, 0), 0)::BIGINT AS n_links, coalesce(rep, d.doc_id) AS copy_of
+        FROM docs d LEFT JOIN sets USING (r) LEFT JOIN classes ON sets.s = classes.s
+        LEFT JOIN joined ON joined.c = classes.c LEFT JOIN counts ON counts.c = classes.c""",
 }
