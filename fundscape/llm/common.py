@@ -59,8 +59,9 @@ def text_or_empty(col: str | Column = "text") -> Column:
 
 
 def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores after it while ``df`` has such a column."""
-    while name in df.columns:
+    """``name``, with underscores after it while ``df`` has such a column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
         name += "_"
     return name
 

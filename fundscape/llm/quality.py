@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscape.llm.common import with_struct
+from fundscape.llm.common import free_name, with_struct
 
 TEXT_BITS, META_BITS = 9, 8
 SAMPLE, POOL = 8_000, 8_000
@@ -203,10 +203,10 @@ def fit(
 
 def score(docs: DataFrame, model: Model, text: str = "text", source: str = "source", lang: str = "lang", length: str = "n_chars") -> DataFrame:
     """Columns of ``docs`` and a struct ``quality``: score, text_score, meta_score, keep."""
+    free = free_name(docs, "quality")
     if model.prior is not None:
         p = F.lit(model.prior)
-        return docs.withColumn("quality" if "quality" not in docs.columns else "quality_", F.struct(
-            p.alias("score"), p.alias("text_score"), p.alias("meta_score"), (p >= KEEP).alias("keep")))
+        return docs.withColumn(free, F.struct(p.alias("score"), p.alias("text_score"), p.alias("meta_score"), (p >= KEEP).alias("keep")))
     names = [f"_{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     at = {c: names[docs.columns.index(c)] for c in (text, source, lang, length)}
@@ -221,7 +221,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", source: str = "sour
     struct = F.struct(
         sigmoid(total).alias("score"), sigmoid(lt).alias("text_score"), sigmoid(lm).alias("meta_score"), (sigmoid(total) >= KEEP).alias("keep")
     )
-    free = "quality"
-    while free in docs.columns:
-        free += "_"
     return found.select(*names, struct.alias("made")).toDF(*docs.columns, free)
