@@ -5,7 +5,8 @@ of bounded size. ``read_archives`` reads each archive as a stream: every record
 its checks (gzip checksum, version line, header fields, length, closing blank lines,
 block and payload digests). Where one fails, the reader looks for the next place at which
 a member or a version line begins and a whole valid record follows, goes on from there,
-and logs the bytes between as a quarantined gap with the reason.
+and logs the bytes between as a quarantined gap with the reason. Headers, and so urls, may
+be of any length.
 
 Of rows with equal payloads (compared by SHA-256 and length) of at least ``min_revisit``
 bytes, those with the smallest id are ``response`` and the others ``revisit``; the latter
@@ -34,7 +35,6 @@ from fundscape.llm.common import open_file, stored, write_file
 VERSION = b"WARC/1.1"
 DATE = "2000-01-01T00:00:00Z"  # records made from tables have no fetch time; a fixed one keeps reruns alike
 CHUNK = 1 << 20
-LONGEST_HEADER = 1 << 16
 END = b"\r\n\r\n"
 PAYLOAD_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER = re.compile(rb"\x1f\x8b\x08")
@@ -146,18 +146,20 @@ class Window:
         self.at += n
 
 
-def parse(data: bytes | memoryview, whole: bool) -> tuple[dict[str, str], bytes, int]:
+def parse(data: bytes | bytearray, whole: bool) -> tuple[dict[str, str], bytes, int]:
     """Fields, block and length of the record at the start of ``data``; checks it.
 
     ``whole``: no more bytes follow."""
-    raw = bytes(data[:LONGEST_HEADER])
-    if not LINE.match(raw):
-        raise Damaged("no version line") if whole or len(raw) >= 10 else Short
-    stop = raw.find(END)
+    if not LINE.match(data):
+        raise Damaged("no version line") if whole or len(data) >= 10 else Short
+    stop = data.find(END)
     if stop < 0:
-        raise Damaged("endless header") if whole or len(raw) == LONGEST_HEADER else Short
+        # A header may be of any length, but a line of it that is there in full must have a colon.
+        if any(b":" not in line for line in data.split(b"\r\n")[1:-1]):
+            raise Damaged("header line without colon")
+        raise Damaged("endless header") if whole else Short
     fields: dict[str, str] = {}
-    for line in raw[:stop].split(b"\r\n")[1:]:
+    for line in bytes(data[:stop]).split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without colon")

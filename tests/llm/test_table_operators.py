@@ -123,6 +123,25 @@ def test_salvage_keeps_all_but_the_damaged(gzip, monkeypatch):
     assert all(o[3] for o in out if o[0] == "gap")
 
 
+@pytest.mark.parametrize("gzip", [True, False])
+def test_warc_long_urls(spark, gzip):
+    """A url of any length comes back, also from the record behind a damaged one."""
+    urls = {1: "data:," + "ab" * 150_000, 2: "http://x/" + "y" * 65_536, 3: "http://x"}
+    table = spark.createDataFrame([(i, u, f"page {i}") for i, u in urls.items()], "page_id long, url string, html string")
+    path = shared_dir(spark, "warc-test")
+    read = warc.read_archives(spark, path, warc.write_archives(table, path, gzip=gzip))
+    assert rows(read, "entry", "source_id", "url") == sorted(("record", str(i), u) for i, u in urls.items())
+    made = [warc.record(str(i), u, b"page", None) for i, u in urls.items()] * 2
+    made = [warc.compress(r) if gzip else r for r in made]
+    data = bytearray(b"".join(made))
+    for n in (1, 3):
+        data[sum(map(len, made[:n])) - 5] ^= 255
+    out = list(warc.salvage(io.BytesIO(bytes(data)).read))
+    assert [(o[0], o[4].get("warc-source-id")) for o in out] == [
+        ("gap", None), ("record", "2"), ("gap", None), ("record", "1"), ("record", "2"), ("record", "3")
+    ]
+
+
 def test_salvage_of_nothing_and_junk():
     assert list(warc.salvage(io.BytesIO(b"").read)) == []
     assert [o[:3] for o in warc.salvage(io.BytesIO(b"\x1f\x8b").read)] == [("gap", 0, 2)]
