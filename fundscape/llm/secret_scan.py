@@ -5,7 +5,8 @@ reads source and configuration syntax: ``name = literal``, ``name: literal``, ``
 and ``name =>``, keys in quotes or brackets, attributes, keyword arguments, with string
 literals in any quotes (adjacent or joined by ``+``), bare values after ``=`` or ``:`` and other
 names. A name that stands for a literal carries it on: in ``part = "x7..."`` followed by
-``api_key = part`` the literal of ``part`` is scored under ``api_key`` as well. A literal is
+``api_key = part`` the literal of ``part`` is scored under ``api_key`` as well, through any
+number of names of any length. A literal is
 reported where its score reaches ``THRESHOLD``: the weight of the words in its name times
 how much its characters look drawn at random.
 
@@ -44,11 +45,12 @@ NAME_WEIGHT = {
 }
 THRESHOLD = 0.5
 LEAST = 8  # characters of a literal
-DEEPEST = 8  # names that a constant passes through
 
-# A name of at most 100 characters (this bounds the work on long runs), perhaps quoted or in brackets, then an assignment sign, then its right side.
+# A name, perhaps quoted or in brackets, then an assignment sign, then its right side. A name begins
+# at the first place that can begin one in its run of name characters; as the run is taken whole,
+# without going back, long runs are read once.
 STATEMENT = re.compile(
-    r"""(?<![\w$])([A-Za-z_$][\w$.\-]{0,99})["']?\]?[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]*[ \t]*=(?!=)|:=|=>|==?=?|:)[ \t]*(?=["'`A-Za-z0-9_+/$])""",
+    r"""(?<![\w$.\-])(?:\d[\w$]*+|[.\-])*+([A-Za-z_$][\w$.\-]*+)["']?\]?[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]*[ \t]*=(?!=)|:=|=>|==?=?|:)[ \t]*(?=["'`A-Za-z0-9_+/$])""",
     re.ASCII,
 )
 STRING = re.compile(r'''[rbfuRBFU]{0,2}("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)''', re.ASCII)
@@ -111,15 +113,13 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals whose name, or a name they are passed on to, is sensitive enough."""
     if "=" not in text and ":" not in text:
         return []
-    constants: dict[str, tuple[list[tuple[int, int]], int]] = {}
+    constants: dict[str, list[tuple[int, int]]] = {}
     found = set()
     for name, parts, other in pairs(text):
-        depth = 0
-        if other and other in constants:
-            parts, depth = constants[other][0], constants[other][1] + 1
-        if not parts or depth > DEEPEST:
+        parts = constants.get(other, parts)
+        if not parts:
             continue
-        constants[name] = (parts, depth)
+        constants[name] = parts
         weight = name_weight(name)
         if weight and weight * randomness("".join(text[a:b] for a, b in parts)) >= THRESHOLD:
             found.update((a, b, "lexed") for a, b in parts if b > a)

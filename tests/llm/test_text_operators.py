@@ -165,6 +165,27 @@ def test_secret_spans(spark):
     assert len(got) == 2 and secret_scan.scan(empty(spark)).count() == 0
 
 
+CHAIN = ["part", *"bcdefghijk"]
+
+
+@pytest.mark.parametrize(
+    ("middle", "last"), [("f(part=part)\n" * 9, "part"), ("".join(f"{b} = {a}\n" for a, b in zip(CHAIN, CHAIN[1:], strict=False)), "k")]
+)
+def test_constants_pass_any_number_of_names(middle, last):
+    """Nine passes of a name to itself, and a chain of ten names."""
+    text = f'part = "zX9kd82Lq0pW"\n{middle}api_key = {last}\n'
+    at = text.index("zX9")
+    assert secret_scan.lexed_spans(text) == [(at, at + 12, "lexed")]
+
+
+def test_names_of_any_length():
+    for name in ("x" * 500 + "_api_key", "a.b-" * 100 + "api_key", "--9z-api_key", "1.api_key"):
+        text = f'{name} = "zX9kd82Lq0pW"'
+        assert secret_scan.lexed_spans(text) == [(len(name) + 4, len(name) + 16, "lexed")]
+    for run in ("a-" * 500_000, "a" * 1_000_000, "1a." * 300_000, "-" * 1_000_000):  # each is read once
+        assert secret_scan.lexed_spans(run + "?=") == []
+
+
 def test_base_spans_are_ascii_and_leftmost():
     assert secret_scan.base_spans("paſſword=abcdefghijklmn") == []
     assert secret_scan.base_spans("token=secret=abcdefghij") == [(0, 23, "assign")]
