@@ -1,7 +1,9 @@
 """A corpus from raw documents to token ids, in five stages that each read the table the
 one before wrote.
 
-Language ID drops documents without any letter (lang_pred ``und``); the n-gram Jaccard join
+Language ID drops documents without any letter (lang_pred ``und``) and those whose best
+language scores less than ``UNSURE``, so that more than two are in question; where no
+language can be learned it drops only the former. The n-gram Jaccard join
 keeps one document of each group of near copies; decontamination drops documents with
 benchmark passages; mixing repeats or drops documents so that sources meet their token
 targets; the last stage writes token ids and returns one row per document and copy."""
@@ -15,14 +17,18 @@ from fundscape.llm import decontamination, jaccard_join, language_id, mixing, to
 from fundscape.llm.common import shared_dir, stored, table
 from fundscape.llm.queries import END_ID
 
+# Least score of a kept document. Labelled clean ones score more, also those flagged as ambiguous,
+# which lie between two languages at about 0.5. With fewer than three languages no score is lower.
+UNSURE = 0.45
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from labelled documents that are not held out; drop those without a language."""
     model = language_id.fit(docs.filter(~language_id.held_out()))
-    found = language_id.identify(docs, model)
-    return found.filter(F.col(f"`{found.columns[-1]}`.lang") != language_id.UNKNOWN).select(docs.columns)
+    found = language_id.identify(docs, model if model.languages else language_id.any_language())
+    language = F.col(f"`{found.columns[-1]}`")
+    return found.filter((language["lang"] != language_id.UNKNOWN) & (language["score"] >= UNSURE)).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """The pipeline's stages, each on what the one before kept, against brute force."""
 
+import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from fundscape.llm import mixing, token_store
+from fundscape.llm import language_id, mixing, token_store
 from tests.llm.helpers import jaccard_classes, leaks
 from tests.llm.test_table_operators import brute_tokens, water_filled
 
@@ -41,3 +42,22 @@ def test_stages(spark, tmp_path):
             assert sorted(got) == sorted((d, *x) for d, xs in brute_tokens(before, 2).items() for x in xs)
         kept[name], table = ids, after
     assert all(sum(n.values()) > 50 for n in kept.values()) and token_store.tokenizer_path()
+
+
+def test_decoder_decides(spark):
+    """Texts that the decoder cannot place go, all labelled documents stay."""
+    docs, rnd = spark.read.parquet(f"{SF}/documents.parquet"), random.Random(0)
+    strange = [" ".join("".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(rnd.randrange(1, 8))) for _ in range(30)) for _ in range(200)]
+    junk = spark.createDataFrame([(90_000 + i, t, None, "src0", len(t)) for i, t in enumerate(strange)], docs.schema)
+    kept = {r[0] for r in corpus_pipeline.identify_language(spark, docs.union(junk), SF).select("doc_id").collect()}
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    gone = {90_000 + i for i, (_, score, _) in enumerate(model.predict(strange)) if score < 0.45}
+    assert len(gone) > 5 and not kept & gone
+    assert kept == {r[0] for r in docs.select("doc_id").collect()} | set(range(90_000, 90_200)) - gone
+
+
+def test_no_language_to_learn(spark):
+    texts = ["some words", "1 2 3", "", None, "\U00010400", "\u0444"]
+    docs = spark.createDataFrame([(i, t, None, "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.identify_language(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r[0] for r in kept.collect()) == [0, 4, 5]
