@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscape.llm.common import partitions, row_ranges, shared_dir, stored, words
+from fundscape.llm.common import partitions, row_ranges, shared_dir, stored, with_struct, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -242,13 +242,10 @@ def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, f"{fields}, shingles binary")
 
 
-def jaccard_join(
-    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE,
-    threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK,
-) -> DataFrame:
-    """id_col, class_id, n_links, copy_of for every document."""
+def _linked(docs: DataFrame, path: str, id_col: str, text: str, size: int, threshold: float, recall: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """id and key of every document; key, rep, weight, n_docs and root of every class, the
+    root being the smallest key that links join it with."""
     spark = docs.sparkSession
-    path = path or shared_dir(spark, "jaccard")
     bands, rows = choose_bands(threshold, recall)
     signed = stored(signatures(docs, id_col, text, size, bands, rows), f"{path}/signatures")
     classes = signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
@@ -280,28 +277,49 @@ def jaccard_join(
     roots = components(links.filter("key <> root").select(F.col("root").alias("a"), F.col("key").alias("b")), f"{path}/joined")
     counts = links.groupBy("key").agg(F.sum("n_docs").alias("n_docs"))
     per_class = classes.join(counts, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    per_class = stored(per_class.withColumn("root", F.coalesce("root", "key")), f"{path}/linked")
+    return signed.select("id", "key"), stored(per_class.withColumn("root", F.coalesce("root", "key")), f"{path}/linked")
+
+
+def jaccard_join(
+    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE,
+    threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK,
+) -> DataFrame:
+    """id_col, class_id, n_links, copy_of for every document."""
+    path = path or shared_dir(docs.sparkSession, "jaccard")
+    signed, per_class = _linked(docs, path, id_col, text, size, threshold, recall, block)
     first = per_class.groupBy("root").agg(F.min("rep").alias("class_id"))
     per_class = per_class.join(first, "root").select(
         "key", "class_id", (F.col("weight") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"), F.col("rep").alias("copy_of")
     )
-    joined = signed.select("id", "key").filter("key IS NOT NULL").join(per_class, "key").select("id", "class_id", "n_links", "copy_of")
+    joined = signed.filter("key IS NOT NULL").join(per_class, "key").select("id", "class_id", "n_links", "copy_of")
     alone = signed.filter("key IS NULL").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("copy_of"))
     return joined.union(alone).withColumnRenamed("id", id_col)
 
 
-def keep_one(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each class: that with the smallest id (of rows that
-    share it, any one). Documents without words, and those with null ids, all stay."""
-    found = jaccard_join(docs, path, id_col, **options)
-    # An id may be in several rows, of several classes: a row goes if its id has no class of its own.
-    heads = found.groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("_n"), F.max(F.col(id_col) == F.col("class_id")).alias("_stays"))
-    heads = heads.filter("_id IS NOT NULL")
+def keep_one(
+    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE,
+    threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK,
+) -> DataFrame:
+    """``docs`` with one document of each class: that with the smallest id, and of rows that
+    share it the smallest key of their shingle sets (of equal sets, any one). Documents
+    without words, and those with null ids, all stay."""
+    path = path or shared_dir(docs.sparkSession, "jaccard")
+    signed, per_class = _linked(docs, path, id_col, text, size, threshold, recall, block)
+    first = per_class.filter("rep IS NOT NULL").groupBy("root").agg(F.min(F.struct("rep", "key")).alias("first"))
+    heads = stored(first.select(F.col("first.rep").alias("head"), F.col("first.key").alias("key")), f"{path}/heads")
+
+    # An id may be in several rows, of several classes; only those rows' sets are made again.
+    marked = signed.join(heads, "key", "left").select("id", (F.col("key").isNull() | F.coalesce(F.col("id") == F.col("head"), F.lit(False))).alias("stays"))
+    ids = marked.filter("id IS NOT NULL").groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("_n"), F.max("stays").alias("_stays"))
     names = [f"_{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    at = names[docs.columns.index(id_col)]
-    kept = plain.join(heads.filter("_stays"), F.col(at) == F.col("_id"))
+    at, text_at = (names[docs.columns.index(c)] for c in (id_col, text))
+    kept = plain.join(ids.filter("_stays"), F.col(at) == F.col("_id"))
     once = kept.filter("_n = 1").select(names)
-    if not heads.filter("_stays AND _n > 1").isEmpty():
-        once = once.union(kept.filter("_n > 1").dropDuplicates([at]).select(names))
+    if not ids.filter("_stays AND _n > 1").isEmpty():
+        keyed = with_struct(kept.filter("_n > 1").select(names), text_at, "_set", "key: binary", lambda texts: [(key_of(s),) for s in map(Shingler(size), texts)])
+        once = once.union(keyed.filter("_set.key IS NULL").select(names))
+        keyed = keyed.filter("_set.key IS NOT NULL").withColumn("_key", F.col("_set.key"))
+        held = keyed.join(heads.withColumnRenamed("key", "_key"), "_key").filter(F.col(at) == F.col("head"))
+        once = once.union(held.dropDuplicates(["_key"]).select(names))
     return once.union(plain.filter(F.col(at).isNull())).toDF(*docs.columns)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundscape.llm import decontamination, jaccard_join, language_id, quality, secret_scan
-from tests.llm.helpers import AWKWARD, awkward, empty, jaccard_classes, leaks, row, SCHEMA
+from tests.llm.helpers import AWKWARD, BASE, awkward, empty, jaccard_classes, leaks, row, SCHEMA
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,6 +93,17 @@ def test_jaccard_join_awkward_tables(spark):
     assert sorted(left, key=str) == sorted([1, 2, 3, 4, 6, 9, 10, None, 11, 12, 13], key=str)
 
 
+def test_keep_one_of_each_class_though_ids_repeat(spark):
+    """A merged table: one id, several texts, each of a class of its own or of another's."""
+    near = BASE.replace("w30 ", "changed ")
+    texts = [(1, BASE), (2, "some text of its own"), (2, near), (2, "another text of its own"), (2, "some text of its own"), (3, near), (4, "some text of its own")]
+    texts += [(5, ""), (5, None), (6, "the last one"), (0, "the last one"), (None, BASE), (None, "only here")]
+    docs = spark.createDataFrame([row(*t) for t in texts], SCHEMA)
+    kept = rows(jaccard_join.keep_one(docs), "doc_id", "text")
+    want = [(1, BASE), (2, "some text of its own"), (2, "another text of its own"), (5, ""), (5, None), (0, "the last one"), (None, BASE), (None, "only here")]
+    assert sorted(map(str, kept)) == sorted(map(str, want))
+
+
 # -- language
 
 
