@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fundscape.functions import tokens
+from fundscape.session import stored
 
 
 def text_clusters(
@@ -46,6 +47,46 @@ def text_clusters(
     return model.transform(idf.transform(hashed.transform(words))).select(key, "words", "cluster")
 
 
+def stored_model(clustered: DataFrame, key: str = "projectID") -> tuple[DataFrame, DataFrame]:
+    """A clustering as two stored tables that outlive its session: ``(word, idf)`` and the centres,
+    ``(cluster, word, weight)``, each the mean tf-idf vector of its texts. ``clustered``: key, words, cluster.
+
+    ``idf`` is ``ln((N + 1) / (df + 1))``. Both numbers are in whole thousandths, so that sums over
+    them do not depend on their order. Words keep their own weights and share no hash buckets."""
+    counts = clustered.select("cluster", key, F.explode("words").alias("word")).groupBy("cluster", key, "word").agg(F.count("*").alias("tf"))
+    counts = stored(counts, "cluster-words")
+    n = clustered.agg(F.count("*")).scalar()
+    per_word = counts.groupBy("word").agg(F.count("*").alias("df"))
+    idf = stored(per_word.select("word", F.round(1000 * F.ln((n + 1) / (F.col("df") + 1))).cast("long").alias("idf")), "idf")
+    sizes = clustered.groupBy("cluster").agg(F.count("*").alias("n"))
+    sums = counts.groupBy("cluster", "word").agg(F.sum("tf").alias("tf"))
+    weight = F.round(F.col("tf") * F.col("idf") / F.col("n")).cast("long")
+    return idf, stored(sums.join(idf, "word").join(sizes, "cluster").select("cluster", "word", weight.alias("weight")), "centres")
+
+
+def assign_clusters(texts: DataFrame, idf: DataFrame, centres: DataFrame, key: str = "projectID", words: str = "words") -> DataFrame:
+    """The nearest stored centre of each text by squared distance: ``(key, cluster, distance)``; of equally near ones
+    the smallest cluster.
+
+    Only words that a text and a centre share are joined: ``|x|^2 - 2 x.c + |c|^2`` needs no others. Of the
+    centres that share no word with a text the shortest is the nearest, so that one is a choice of every
+    text. Words the model does not know are left out; a NULL list of words counts as empty. Distances are exact
+    up to 2^53 millionths."""
+    own = texts.select(key, F.coalesce(words, F.array().cast("array<string>")).alias("_w"))
+    counts = own.select(key, F.explode("_w").alias("word")).groupBy(key, "word").agg(F.count("*").alias("tf"))
+    weighted = stored(counts.join(idf, "word").select(key, "word", (F.col("tf") * F.col("idf")).cast("double").alias("x")), "weighted")
+    lengths = weighted.groupBy(key).agg(F.sum(F.col("x") * F.col("x")).alias("xx"))
+    plain = centres.select("cluster", "word", F.col("weight").cast("double").alias("c"))
+    sizes = plain.groupBy("cluster").agg(F.sum(F.col("c") * F.col("c")).alias("cc"))
+    dots = weighted.join(plain, "word").groupBy(key, "cluster").agg(F.sum(F.col("x") * F.col("c")).alias("xc"))
+    shared = dots.join(sizes, "cluster")
+    near = shared.groupBy(key).agg(F.min(F.struct((F.col("cc") - 2 * F.col("xc")).alias("d"), "cluster")).alias("near"))
+    shortest = sizes.agg(F.min(F.struct(F.col("cc").alias("d"), "cluster"))).scalar()
+    best = F.least(F.col("near"), shortest)
+    joined = own.select(key).join(lengths, key, "left").join(near, key, "left").withColumn("_best", best)
+    return joined.select(key, F.col("_best.cluster").alias("cluster"), ((F.col("_best.d") + F.coalesce("xx", F.lit(0.0))) / 1e6).alias("distance"))
+
+
 def cluster_top_words(clusters: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` most frequent words of each cluster as ``(topic, word)``."""
     counts = clusters.select("cluster", F.explode("words").alias("word")).groupBy("cluster", "word").count()

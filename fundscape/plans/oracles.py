@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fundscape.constants import METRICS, PROJECTION_SHOCKS, SCORE_WEIGHTS
-from fundscape.plans.views import PATTERN, PREFIXES, STEMS, STOP_WORDS
+from fundscape.plans.views import ORDER_WEIGHTS, PATTERN, PREFIXES, STEMS, STOP_WORDS
 
 
 def _list(values) -> str:
@@ -221,6 +221,73 @@ SUMMARY = """CASE country WHEN 'NATION_0' THEN 'Prepared summary of nation 0.'
   WHEN 'NATION_1' THEN 'Prepared summary of nation 1.' ELSE '' END AS summary"""
 PATH_NAMES = """LEFT JOIN names own ON own.code = country LEFT JOIN names other ON other.code = peer"""
 
+# Orders with metrics of their line items, as in the view of that name.
+ORDER_SCORES = (
+    """wide AS (
+  SELECT o_orderkey::VARCHAR AS order_id, o_totalprice AS price, count(*) AS lines, sum(l_quantity) AS quantity, avg(l_discount) AS discount,
+         avg(l_tax) AS tax, count(DISTINCT l_suppkey) AS suppliers
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)""",
+    "orders_scaled AS (SELECT *, "
+    + ", ".join(f"({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER ()) AS {m}_scaled" for m in ORDER_WEIGHTS)
+    + f""", {_uniform('order_id', 'holdout', 42)} < 0.2::DOUBLE AS is_test FROM wide)""",
+    "orders_scored AS (SELECT *, ("
+    + " + ".join(f"{m}_scaled" for m in ORDER_WEIGHTS)
+    + f') / {len(ORDER_WEIGHTS)} AS "Score", '
+    + " + ".join(f"{m}_scaled * {w}::DOUBLE" for m, w in ORDER_WEIGHTS.items())
+    + ' AS "Weighted_Score" FROM orders_scaled)',
+)
+
+# Random indexing: a place and a sign for every word, summed over texts and over the words around a word.
+VECTORS = (
+    TOKENS,
+    "occ AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM tokens)",
+    """codes AS (
+  SELECT word, {'dim': ('0x' || substr(md5(word), 1, 8))::BIGINT % 32, 'sign': CASE WHEN substr(md5(word), 9, 1) < '8' THEN 1 ELSE -1 END} AS c
+  FROM (SELECT DISTINCT word FROM occ))""",
+    """company AS (
+  SELECT word, n.dim AS dim, sum(n.sign)::DOUBLE AS v FROM (
+    SELECT word, unnest([lag(c, 1) OVER o, lag(c, 2) OVER o, lead(c, 1) OVER o, lead(c, 2) OVER o]) AS n
+    FROM occ JOIN codes USING (word) WINDOW o AS (PARTITION BY doc_id ORDER BY pos)) WHERE n IS NOT NULL GROUP BY 1, 2)""",
+    "text_dims AS (SELECT doc_id, c.dim AS dim, sum(c.sign)::DOUBLE AS t FROM occ JOIN codes USING (word) GROUP BY 1, 2)",
+    "norms AS (SELECT word, sum(v * v) AS norm FROM company GROUP BY 1)",
+    "owns AS (SELECT doc_id, sum(t * t) AS own FROM text_dims GROUP BY 1)",
+    """dots AS (
+  SELECT d.doc_id, d.word, sum(t * v) AS dot FROM (SELECT DISTINCT doc_id, word FROM occ) d
+  JOIN company ON company.word = d.word JOIN text_dims ON text_dims.doc_id = d.doc_id AND text_dims.dim = company.dim GROUP BY 1, 2)""",
+    """placed AS (
+  SELECT doc_id, pos, word, coalesce(dot, 0) AS dot, coalesce(norm, 0) AS norm
+  FROM occ LEFT JOIN dots USING (doc_id, word) LEFT JOIN norms USING (word))""",
+    """grams AS (
+  SELECT doc_id, word AS phrase, 1 AS size, dot, norm FROM placed
+  UNION ALL SELECT doc_id, word || ' ' || lead(word) OVER o, 2, dot + lead(dot) OVER o, norm + lead(norm) OVER o
+  FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+  UNION ALL SELECT doc_id, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o, 3, dot + lead(dot) OVER o + lead(dot, 2) OVER o,
+    norm + lead(norm) OVER o + lead(norm, 2) OVER o FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY pos))""",
+    """near_phrases AS (
+  SELECT doc_id, phrase, count(*) AS tf,
+         max(coalesce(round(CASE WHEN norm * size * own > 0 THEN dot / (sqrt(norm) * sqrt(size * own)) END, 6), 0) + 0.0::DOUBLE) AS score
+  FROM grams JOIN owns USING (doc_id) WHERE phrase IS NOT NULL GROUP BY 1, 2)""",
+)
+
+# Centres of the sources' texts, tf-idf in thousandths.
+CENTRES = (
+    TOKENS,
+    "tfs AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS word FROM tokens) GROUP BY 1, 2)",
+    """idfs AS (
+  SELECT word, round(1000 * ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)))::BIGINT AS idf FROM tfs GROUP BY 1)""",
+    """centres AS (
+  SELECT source AS cluster, word, round(sum(tf) * any_value(idf) / any_value(n))::BIGINT AS weight
+  FROM tfs JOIN idfs USING (word) JOIN documents USING (doc_id) JOIN (SELECT source, count(*) AS n FROM documents GROUP BY 1) USING (source)
+  GROUP BY 1, 2)""",
+    "lengths AS (SELECT cluster, sum(weight * weight) AS cc FROM centres GROUP BY 1)",
+    "own_lengths AS (SELECT doc_id, sum((tf * idf) ** 2)::HUGEINT AS xx FROM tfs JOIN idfs USING (word) GROUP BY 1)",
+    """meets AS (
+  SELECT doc_id, cluster, sum(tf * idf * weight) AS xc FROM tfs JOIN idfs USING (word) JOIN centres USING (word) GROUP BY 1, 2)""",
+    """choices AS (
+  SELECT d.doc_id, cluster, coalesce(xx, 0) - 2 * coalesce(xc, 0) + cc AS distance
+  FROM documents d CROSS JOIN lengths LEFT JOIN own_lengths USING (doc_id) LEFT JOIN meets USING (doc_id, cluster))""",
+)
+
 LINE_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
@@ -398,4 +465,47 @@ UNION ALL SELECT {LINE_KEYS}, 'quantity', l_quantity FROM lineitem""",
     "json_columns": f"""SELECT {LINE_KEYS}, 'discount' AS feature, l_discount AS importance FROM lineitem
 UNION ALL SELECT {LINE_KEYS}, 'tax', l_tax FROM lineitem""",
     "json_map_explode": "SELECT doc_id::VARCHAR AS project_id, unnest(string_split(text, '. ')) AS term FROM documents",
+    "unique_texts_by_position": """SELECT source || '/' || lang AS key, arg_min(text, md5(doc_id::VARCHAR)) AS text
+FROM documents WHERE text IS NOT NULL GROUP BY 1 ORDER BY 1""",
+    "approx_unique_orgs": _with(*TO_MERGED)
+    + """SELECT country, count(DISTINCT "organisationID") AS unique_orgs, true AS within_bound, true AS slices_equal_whole FROM merged GROUP BY 1""",
+    "bitmap_features": _with(*TO_MERGED, COLLAB, GROUPED)
+    + """SELECT country, round(total_ec_contribution, 2) AS total_ec_contribution, total_projects, unique_orgs,
+  round(collab_project_ratio, 6) AS collab_project_ratio, round(signed_pct, 6) AS signed_pct, round(closed_pct, 6) AS closed_pct,
+  round(terminated_pct, 6) AS terminated_pct, round(signed_pct + closed_pct - terminated_pct, 6) AS success_ratio FROM grouped""",
+    "bitmap_merge": _with(*TO_MERGED)
+    + """SELECT country, count(DISTINCT "projectID") AS total_projects, count(DISTINCT "organisationID") AS unique_orgs FROM merged GROUP BY 1""",
+    "phrase_relevance_vectors": _with(*VECTORS)
+    + """SELECT doc_id, phrase, tf, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, phrase) AS rank FROM near_phrases) WHERE rank <= 20""",
+    "cluster_assignment": _with(*CENTRES)
+    + """SELECT doc_id, arg_min(cluster, (distance, cluster)) AS cluster, min(distance)::DOUBLE / 1000000 AS distance FROM choices GROUP BY 1""",
+    "holdout_check": _with(*ORDER_SCORES)
+    + " UNION ALL ".join(
+        f"""SELECT '{label}' AS label, count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test,
+  round(sqrt(avg(power("{label}" - (SELECT avg("{label}") FROM orders_scored WHERE NOT is_test), 2)) FILTER (is_test)), 6) AS mean_error,
+  true AS stopped_early, true AS beats_mean FROM orders_scored"""
+        for label in ("Score", "Weighted_Score")
+    ),
+    "permutation_importance": _with(
+        *ORDER_SCORES,
+        "cells AS ("
+        + " UNION ALL ".join(
+            f"""SELECT order_id, "Score", "Weighted_Score", '{m}_scaled' AS feature, {m}_scaled AS value, {w}::DOUBLE AS weight FROM orders_scored WHERE is_test"""
+            for m, w in ORDER_WEIGHTS.items()
+        )
+        + ")",
+        """dealt AS (
+  SELECT *, coalesce(lead(value) OVER o, first_value(value) OVER o) AS other FROM cells
+  WINDOW o AS (PARTITION BY feature ORDER BY md5(order_id || '|' || feature || '|42'), order_id))""",
+        """errors AS (
+  SELECT feature, avg(power("Score" - "Weighted_Score", 2)) AS base_error,
+         avg(power("Score" - "Weighted_Score" - weight * (other - value), 2)) AS permuted_error FROM dealt GROUP BY 1)""",
+    )
+    + """SELECT feature, round(base_error, 9) AS base_error, round(permuted_error, 9) AS permuted_error,
+  round(permuted_error - base_error, 9) AS importance FROM errors""",
+    "csv_single_file": """SELECT doc_id, 'He said "a,b"' || chr(10) || chr(10) || text AS text FROM documents""",
+    "json_single_document": "SELECT doc_id, text, source FROM documents",
+    "merge_projects_bucketed": _with(*TO_MERGED)
+    + """SELECT "projectID", "organisationID", country, "order", round(ec, 4) AS "ecContribution", topics, status FROM merged""",
 }

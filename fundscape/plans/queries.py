@@ -11,14 +11,17 @@ from fundscape.constants import METRICS, PROJECTION_SHOCKS
 from fundscape.functions import holds, lacks, matches_any, parse_eu_number, starts_with_any, to_number, tokens, uniform
 from fundscape.operators import (
     clusters,
+    distinct,
     explain,
     features,
     keyphrases,
+    models,
     participation,
     projection,
     relevance,
     scoring,
     serving,
+    vectors,
 )
 from fundscape.plans import analysis, views
 from fundscape.session import scratch_path, stored
@@ -31,7 +34,9 @@ from fundscape.sources import (
     rows_from_json_columns,
     rows_from_json_map,
     schemas,
+    with_position,
     write_artifact,
+    write_bucketed,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,6 +229,38 @@ def country_features(spark, sf):
     return rounded(_features(spark, sf))
 
 
+@query
+def approx_unique_orgs(spark, sf):
+    """Organisations per country from stored sketches, one per country and status, united on
+    reading, beside the exact count and a sketch of the whole."""
+    merged = views.merged(spark, sf).select("country", "status", "organisationID")
+    slices = stored(distinct.value_sketches(merged, ["country", "status"], "organisationID"), "sketches")
+    united = distinct.sketch_estimates(distinct.united_sketches(slices, ["country"]), "united")
+    whole = distinct.united_sketches(distinct.value_sketches(merged, ["country"], "organisationID"), ["country"])
+    exact = merged.groupBy("country").agg(F.countDistinct("organisationID").alias("unique_orgs"))
+    joined = exact.join(united, "country").join(distinct.sketch_estimates(whole, "whole"), "country")
+    error = F.abs(F.col("united") - F.col("unique_orgs"))
+    return joined.select(
+        "country", "unique_orgs", (error <= distinct.ERROR_BOUND * F.col("unique_orgs") + 0.5).alias("within_bound"),
+        (F.col("united") == F.col("whole")).alias("slices_equal_whole"),
+    )
+
+
+@query
+def bitmap_features(spark, sf):
+    """All totals and ratios of each country, distinct counts by bitmaps."""
+    return rounded(distinct.bitmap_features(views.flagged(spark, sf)))
+
+
+@query
+def bitmap_merge(spark, sf):
+    """Distinct projects and organisations from stored bitmaps, one set per status, merged on reading."""
+    ids = {"projectID": "total_projects", "organisationID": "unique_orgs"}
+    slices = views.merged(spark, sf).withColumn("slice", F.concat_ws("/", "status", "country"))
+    bitmaps = stored(distinct.id_bitmaps(slices, "slice", list(ids)), "bitmaps").withColumn("country", F.split_part("slice", F.lit("/"), F.lit(2)))
+    return distinct.bitmap_counts(distinct.merged_bitmaps(bitmaps, "country"), "country", ids)
+
+
 # -- scores --------------------------------------------------------------------------
 
 
@@ -315,6 +352,16 @@ def unique_texts(spark, sf):
     return keyphrases.unique_texts(docs, "key", "text")
 
 
+@query
+def unique_texts_by_position(spark, sf):
+    """The first text of each source and language in the order of several files' rows."""
+    path = scratch_path(spark, "positions")
+    docs = views.table(spark, sf, "documents").withColumn("mark", F.md5(F.col("doc_id").cast("string")))
+    write_artifact(docs.repartitionByRange(7, "mark").sortWithinPartitions("mark"), path)
+    placed = with_position(read_table(spark, path)).withColumn("key", F.concat_ws("/", "source", "lang"))
+    return keyphrases.unique_texts(placed, "key", "text", ["_position"])
+
+
 @query
 def candidate_phrases(spark, sf):
     return _candidates(spark, sf)
@@ -330,6 +377,13 @@ def phrase_topk(spark, sf):
     return _topk(spark, sf).select("doc_id", "phrase", "score", "rank")
 
 
+@query
+def phrase_relevance_vectors(spark, sf):
+    """The 20 phrases of each text that are nearest to it by word company."""
+    scored = vectors.vector_relevance(_texts(spark, sf), "doc_id", "text", stop_words=views.STOP_WORDS)
+    return keyphrases.phrase_topk(scored, 20, "doc_id").select("doc_id", "phrase", "tf", "score", "rank")
+
+
 @query
 def phrase_diversify(spark, sf):
     return keyphrases.phrase_diversify(_topk(spark, sf), 5, "doc_id")
@@ -384,6 +438,15 @@ def cluster_top_words(spark, sf):
     )
 
 
+@query
+def cluster_assignment(spark, sf):
+    """Texts and the nearest of the sources' stored centres."""
+    docs = views.table(spark, sf, "documents")
+    clustered = docs.select("doc_id", F.col("source").alias("cluster"), tokens(F.col("text"), views.STOP_WORDS).alias("words"))
+    idf, centres = clusters.stored_model(clustered, "doc_id")
+    return clusters.assign_clusters(clustered, idf, centres, "doc_id")
+
+
 @query
 def source_top_words(spark, sf):
     """The top words of given groups: the documents' sources."""
@@ -420,6 +483,38 @@ def importance_training(spark, sf):
     return rounded(explain.training_frame(_scored(spark, sf), METRICS, "Score"))
 
 
+ORDER_METRICS = tuple(views.ORDER_WEIGHTS)
+
+
+@query
+def holdout_fit(spark, sf):
+    """Both scores of the orders by boosted trees that the hold-out rows stop."""
+    return rounded(models.fit_report(views.order_scores(spark, sf), features=ORDER_METRICS, key="order_id", trees=40))
+
+
+@query
+def holdout_check(spark, sf):
+    """What of the fits does not depend on the trees: the rows, the error of guessing the mean, and
+    that the fits stopped before their limit and beat the guess."""
+    report = models.fit_report(views.order_scores(spark, sf), features=ORDER_METRICS, key="order_id", trees=40)
+    return rounded(report.select(
+        "label", "n_train", "n_test", "mean_error", (F.col("kept") < F.col("trees")).alias("stopped_early"),
+        (F.col("holdout_error") < F.col("mean_error") / 2).alias("beats_mean"),
+    ))
+
+
+@query
+def permutation_importance(spark, sf):
+    """By how much the weighted score misses the equal-weight score more, over hold-out orders, when a
+    metric is permuted."""
+    scaled = {f"{m}_scaled": w for m, w in views.ORDER_WEIGHTS.items()}
+    orders = explain.holdout_split(views.order_scores(spark, sf), "order_id").drop("Weighted_Score")
+    found = models.permutation_importance(
+        orders, lambda df: scoring.weighted_sum(df, scaled, "prediction"), tuple(scaled), "Score", "order_id"
+    )
+    return rounded(found, 9)
+
+
 def _gaps(spark, sf):
     """Scores with one metric missing for the nations whose number ends in 3."""
     base = stored(analysis.base_features(views.flagged(spark, sf), views.gdp(spark, sf), views.members(spark, sf)), "base")
@@ -542,6 +637,39 @@ def csv_roundtrip(spark, sf):
     return mark_missing(read_table(spark, path, m.schema, "csv", multiline=True))
 
 
+@query
+def csv_single_file(spark, sf):
+    """Texts with line breaks and quotes through one CSV file."""
+    path = scratch_path(spark, "csv-file")
+    docs = views.texts(spark, sf).withColumn("text", F.concat(F.lit('He said "a,b"\n\n'), "text"))
+    write_artifact(docs.coalesce(1), path, "csv")
+    return read_table(spark, path, docs.schema, "csv", multiline=True)
+
+
+@query
+def json_single_document(spark, sf):
+    """Documents as the records of one JSON list in one file, cut again by many tasks."""
+    path = scratch_path(spark, "json-list")
+    docs = views.table(spark, sf, "documents").select("doc_id", "text", "source")
+    record = F.to_json(F.struct("doc_id", "text", F.struct("source").alias("of")))
+    first = docs.agg(F.min("doc_id")).scalar()
+    items = docs.select(F.col("doc_id").alias("at"), F.concat(F.when(F.col("doc_id") == first, "[").otherwise(", "), record).alias("value"))
+    end = docs.agg((F.max("doc_id") + 1).alias("at")).select("at", F.lit("]").alias("value"))
+    items.union(end).orderBy("at").select("value").coalesce(1).write.text(path)
+    read = read_json_shape(spark, path, "records", {"doc_id": "long", "text": "string", "of": "struct<source: string>"}, lines=False)
+    return read.select("doc_id", "text", "of.source")
+
+
+@query
+def merge_projects_bucketed(spark, sf):
+    """The merge of stored tables that lie in buckets by project: a join without a shuffle."""
+    name = scratch_path(spark, "bucketed").rsplit("-", 1)[1]
+    orgs = write_bucketed(views.organizations(spark, sf), f"orgs_{name}", scratch_path(spark, "orgs"), "projectID", 8)
+    projects = write_bucketed(views.relevant(spark, sf), f"projects_{name}", scratch_path(spark, "projects"), "id", 8)
+    m = participation.merge_participations(orgs, projects, drop=("id",))
+    return rounded(m.select("projectID", "organisationID", "country", "order", "ecContribution", "topics", "status"), 4)
+
+
 @query
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "parquet")

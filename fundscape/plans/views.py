@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fundscape.operators.participation import flagged_participations, merge_participations
 from fundscape.operators.relevance import select_relevant
+from fundscape.operators.scoring import minmax_scale, row_mean, weighted_sum
+from fundscape.session import stored
 from fundscape.sources import read_table
 
 PREFIXES = ("1-", "2-")
@@ -104,3 +106,20 @@ def shifted_names(spark: SparkSession, sf_dir: str, by: int) -> DataFrame:
         F.concat(F.lit("NATION_"), F.col("n_nationkey") + by).alias("code"),
         F.concat(F.lit("Nation no. "), F.col("n_nationkey")).alias("name"),
     )
+
+
+# Weights of the scaled order metrics; they sum to 1.
+ORDER_WEIGHTS = {"price": 0.35, "lines": 0.1, "quantity": 0.2, "discount": 0.1, "tax": 0.05, "suppliers": 0.2}
+
+
+def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with metrics of their line items, scaled, and both scores."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("discount"),
+        F.avg("l_tax").alias("tax"), F.countDistinct("l_suppkey").alias("suppliers"),
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    wide = stored(orders.join(lines, "o_orderkey").withColumn("order_id", F.col("o_orderkey").cast("string")).drop("o_orderkey"), "orders")
+    scaled = minmax_scale(wide, list(ORDER_WEIGHTS))
+    names = {f"{m}_scaled": w for m, w in ORDER_WEIGHTS.items()}
+    return weighted_sum(row_mean(scaled, list(names)), names)

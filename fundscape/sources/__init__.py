@@ -11,7 +11,9 @@ from fundscape.sources.tables import (
     mark_missing,
     read_stage,
     read_table,
+    with_position,
     write_artifact,
+    write_bucketed,
 )
 
 __all__ = [
@@ -26,5 +28,7 @@ __all__ = [
     "rows_from_json_map",
     "small_table",
     "value_list",
+    "with_position",
     "write_artifact",
+    "write_bucketed",
 ]

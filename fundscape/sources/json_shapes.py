@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundscape.sources.records import read_json_elements
+
 SHAPES = ("records", "columns", "map", "raw")
 
 
@@ -51,11 +53,15 @@ def read_json_shape(
 
     ``records`` and ``columns`` need ``fields`` (name -> type); ``map`` gives
     ``(project_id, term)``; ``raw`` gives the text as it is. Every line is a document,
-    and a large file is split among tasks; with ``lines=False`` a file is one document
-    and is read by one task."""
+    and a large file is split among tasks. With ``lines=False`` a file is one document, whose
+    elements are cut by many tasks; only ``columns`` and ``raw`` documents are read by one task."""
     if shape not in SHAPES:
         raise ValueError(f"shape must be one of {SHAPES}")
-    docs = spark.read.text(path, wholetext=not lines)
+    if not lines and shape in ("records", "map"):
+        left, right = "[]" if shape == "records" else "{}"
+        docs = read_json_elements(spark, path).select(F.concat(F.lit(left), "value", F.lit(right)).alias("value"))
+    else:
+        docs = spark.read.text(path, wholetext=not lines)
     if shape == "records":
         return records_from_json(docs, "value", ", ".join(f"`{n}`: {t}" for n, t in fields.items()))
     if shape == "columns":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -61,7 +62,7 @@ if __name__ == "__main__":
     sf_dir = sys.argv[1]
     wanted = sys.argv[2:]
     spark = build_session(
-        "compare", "local[8]", 8, **{"spark.driver.memory": "10g", "spark.ui.enabled": "false"}
+        "compare", f"local[{os.environ.get('COMPARE_CPUS', 8)}]", 8, **{"spark.driver.memory": "10g", "spark.ui.enabled": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
