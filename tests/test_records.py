@@ -23,7 +23,7 @@ def small_ranges(spark):
 
 def rows_of(n, seed):
     rnd = random.Random(seed)
-    return [(i, " ".join(rnd.choice(BITS) for _ in range(rnd.randrange(0, 6))) or None, rnd.choice(["x", None, "long " * 80])) for i in range(n)]
+    return [(i, " ".join(rnd.choice(BITS) for _ in range(rnd.randrange(0, 6))) or None, rnd.choice(["x", None, "long " * 30])) for i in range(n)]
 
 
 def write_csv(path, rows, end="\n"):
@@ -34,16 +34,15 @@ def write_csv(path, rows, end="\n"):
     path.write_bytes(out.getvalue().encode())
 
 
-@pytest.mark.parametrize("size", [60, 400, 5_000, 1 << 20])
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size, end", [(150, "\n"), (300, "\r\n")])
 def test_csv_in_ranges_of_any_size(spark, tmp_path, small_ranges, size, end):
-    rows = rows_of(300, size)
+    rows = rows_of(20, size)
     write_csv(tmp_path / "t.csv", rows, end)
     small_ranges(size)
     df = read_table(spark, str(tmp_path / "t.csv"), _schema(), "csv", multiline=True)
     assert sorted(tuple(r) for r in df.collect()) == rows
     ranges = spark.read.text(str(tmp_path / "t.csv"), lineSep="\n").rdd.getNumPartitions()
-    assert ranges > 1 if size < 1 << 20 else ranges == 1
+    assert ranges > 3
 
 
 def _schema():
@@ -53,7 +52,7 @@ def _schema():
 
 
 def test_more_ranges_than_are_broadcast(spark, tmp_path, small_ranges):
-    rows = rows_of(200, 7)
+    rows = rows_of(15, 7)
     write_csv(tmp_path / "t.csv", rows)
     small_ranges(300)
     df = read_csv_records(spark, str(tmp_path / "t.csv"), _schema(), CSV_OPTIONS, most_ranges=3)
@@ -63,12 +62,12 @@ def test_more_ranges_than_are_broadcast(spark, tmp_path, small_ranges):
 def test_several_files_with_headers_and_empty_ones(spark, tmp_path, small_ranges):
     folder = tmp_path / "many"
     folder.mkdir()
-    rows = rows_of(90, 3)
+    rows = rows_of(24, 3)
     for k in range(3):
-        write_csv(folder / f"{k}.csv", rows[30 * k : 30 * k + 30])
+        write_csv(folder / f"{k}.csv", rows[8 * k : 8 * k + 8])
     write_csv(folder / "head.csv", [])
     (folder / "none.csv").write_text("")
-    small_ranges(200)
+    small_ranges(300)
     assert sorted(tuple(r) for r in read_table(spark, str(folder), _schema(), "csv", multiline=True).collect()) == rows
 
 
@@ -85,19 +84,18 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("size", [7, 50, 1000])
-@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("size, indent", [(40, None), (150, 2)])
 def test_json_list_in_ranges_of_any_size(spark, tmp_path, small_ranges, size, indent):
-    docs = [dict(DOCS[i % len(DOCS)], n=i) for i in range(60)]
+    docs = [dict(DOCS[i % len(DOCS)], n=i) for i in range(18)]
     (tmp_path / "d.json").write_text("\n " + json.dumps(docs, indent=indent) + "\n")
     small_ranges(size)
     df = read_json_shape(spark, str(tmp_path / "d.json"), "records", {"k": "string", "n": "int"}, lines=False)
     assert sorted(tuple(r) for r in df.select("n", "k").collect()) == [(d["n"], d["k"]) for d in docs]
 
 
-@pytest.mark.parametrize("size", [5, 40, 1000])
+@pytest.mark.parametrize("size", [40])
 def test_json_map_in_ranges_of_any_size(spark, tmp_path, small_ranges, size):
-    lists = {f"id, {i}": [f"te\"rm {j}, [x" for j in range(i % 4)] for i in range(40)}
+    lists = {f"id, {i}": [f"te\"rm {j}, [x" for j in range(i % 4)] for i in range(16)}
     (tmp_path / "m.json").write_text(json.dumps(lists))
     small_ranges(size)
     df = read_json_shape(spark, str(tmp_path / "m.json"), "map", lines=False)
@@ -113,9 +111,9 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_large_list_is_read_by_several_tasks(spark, tmp_path, small_ranges):
-    n = 100_000
+    n = 30_000
     (tmp_path / "big.json").write_text(json.dumps([{"feature": f"f{i}", "importance": i / 2} for i in range(n)]))
-    small_ranges(1 << 20)
+    small_ranges(1 << 18)
     path = str(tmp_path / "big.json")
     assert spark.read.text(path, lineSep=",").rdd.getNumPartitions() > 3
     df = read_json_shape(spark, path, "records", {"feature": "string", "importance": "double"}, lines=False)
