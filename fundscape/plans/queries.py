@@ -489,14 +489,14 @@ ORDER_METRICS = tuple(views.ORDER_WEIGHTS)
 @query
 def holdout_fit(spark, sf):
     """Both scores of the orders by boosted trees that the hold-out rows stop."""
-    return rounded(models.fit_report(views.order_scores(spark, sf), features=ORDER_METRICS, key="order_id", trees=40))
+    return rounded(models.fit_report(views.order_scores(spark, sf), features=ORDER_METRICS, key="order_id", trees=30, tolerance=0.03))
 
 
 @query
 def holdout_check(spark, sf):
     """What of the fits does not depend on the trees: the rows, the error of guessing the mean, and
     that the fits stopped before their limit and beat the guess."""
-    report = models.fit_report(views.order_scores(spark, sf), features=ORDER_METRICS, key="order_id", trees=40)
+    report = models.fit_report(views.order_scores(spark, sf), features=ORDER_METRICS, key="order_id", trees=30, tolerance=0.03)
     return rounded(report.select(
         "label", "n_train", "n_test", "mean_error", (F.col("kept") < F.col("trees")).alias("stopped_early"),
         (F.col("holdout_error") < F.col("mean_error") / 2).alias("beats_mean"),
