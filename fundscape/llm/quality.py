@@ -3,14 +3,19 @@
 The text view is what the text holds: hashed words and how its characters, words and lines
 are made up. The metadata view is the page's record: source, language, stored length and
 their combinations. Each view has a logistic classifier. In every round each classifier
-labels documents of a pool it has not seen, and those it is surest of, as many of each
-class as the labels suggest, join the training set of the other. At the end each view is calibrated
-on labelled rows kept apart, the two calibrated log-odds are combined by a last
+labels all documents without a label, on Spark, and the ``TAKE`` it is surest of, as many of each
+class as the labels suggest, join the training set of the other.
+
+A view teaches only what it knows: on labelled rows kept apart, the share of wrong labels among
+those at least as sure must be at most 1 - ``FLOOR``, and at most a quarter of what guessing that class gets
+wrong; a view at chance teaches nothing. A pupil takes a lesson only if that does not lower its area under the
+curve on the rows kept apart. Rounds end when nobody learns anything. At the end each view is calibrated
+on the rows kept apart, the two calibrated log-odds are combined by a last
 logistic fit on the same rows, and all documents are scored.
 
-The classifiers are fitted on about ``SAMPLE`` labelled rows and a pool of about ``POOL``
-unlabelled rows, chosen by a hash of their ids, whole texts; only their features reach the
-driver. Scoring covers all rows.
+The classifiers are fitted on about ``SAMPLE`` labelled rows, chosen by a hash of their ids, whole texts, and
+at most ``TAKE`` taught ones per round and view; only those rows' features reach the driver. Teaching and
+scoring cover all rows. Unlabelled texts are read again only after the text classifier has changed.
 
 Nulls: a null text is empty; a null source, language or length is a value of its own.
 Labels that are null are left out; a document with several labels is taken with their mean.
@@ -25,14 +30,15 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundscape.llm.common import free_name, with_struct
+from fundscape.llm.common import free_name, shared_dir, stored, with_struct
 
 TEXT_BITS, META_BITS = 9, 8
-SAMPLE, POOL = 8_000, 8_000
-ROUNDS, GROW = 5, 0.05  # of the pool taken per round and view
+SAMPLE = 8_000
+ROUNDS, TAKE = 5, 1_000  # rows taught per round and view
+FLOOR, LEAST = 0.95, 20  # precision of a teacher, and rows to see it on
 RIDGE = 1e-2
 KEEP = 0.5
 N_SHAPE = 12
@@ -132,73 +138,124 @@ class Model:
     def text_margin(self, texts: list[str | None]) -> np.ndarray:
         return text_features(texts) @ self.text
 
-    def meta_margin(self, buckets: list[list[int]]) -> np.ndarray:
-        return meta_matrix(buckets) @ self.meta
-
-
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, known: np.ndarray, apart: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """``known`` rows have a ``label``; those ``apart`` calibrate; the rest is the pool."""
-    views = {"text": text, "meta": meta}
-    train = known & ~apart
-    y = {v: np.where(known, label, 0.0) for v in views}
-    has = {v: train.copy() for v in views}
-    weight = {v: np.where(train, 1.0, 0.3) for v in views}  # a pseudo-label counts less
-    fitted = {v: logistic(views[v][has[v]], y[v][has[v]], weight[v][has[v]]) for v in views}
-    good = float(label[train].mean())
-    pool = ~known
-    take = int(np.ceil(GROW * pool.sum()))
-    for _ in range(rounds):
-        for mine, other in (("text", "meta"), ("meta", "text")):
-            free = np.flatnonzero(pool & ~has[other])
-            if not len(free):
-                continue
-            margin = views[mine][free] @ fitted[mine]
-            order = free[np.argsort(margin, kind="stable")]
-            best, worst = order[len(order) - round(take * good) :], order[: take - round(take * good)]
-            for rows, value in ((best, 1.0), (worst, 0.0)):
-                y[other][rows] = value
-                has[other][rows] = True
-        fitted = {v: logistic(views[v][has[v]], y[v][has[v]], weight[v][has[v]]) for v in views}
-    held, one = known & apart, np.ones(int((known & apart).sum()))
-    margins = [views[v][held] @ fitted[v] for v in ("text", "meta")]
-    each = [logistic(np.stack([m, one], axis=1), label[held], one) for m in margins]
+
+def meta_margin(buckets: Column, weights: np.ndarray) -> Column:
+    table = F.lit([float(x) for x in weights])
+    return F.aggregate(buckets, F.lit(float(weights[-1])), lambda s, b: s + F.get(table, b))
+
+
+def area(margin: np.ndarray, good: np.ndarray) -> float:
+    """Area under the curve; ties count half."""
+    values, at, n = np.unique(margin, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(n) - (n - 1) / 2)[at]
+    ones, zeros = int(good.sum()), int(len(good) - good.sum())
+    return float((rank[good == 1].sum() - ones * (ones + 1) / 2) / (ones * zeros))
+
+
+def surest(margin: np.ndarray, good: np.ndarray, floor: float = FLOOR, least: int = LEAST) -> tuple[float, float]:
+    """Margins from which on a view may teach: at most the first for bad, at least the second for good;
+    infinite where it may not."""
+    limits = []
+    for sign, right in ((-1, good == 0), (1, good == 1)):
+        order = np.argsort(-sign * margin, kind="stable")
+        n = np.arange(1, len(order) + 1)
+        wrong = (np.cumsum(~right[order]) + 1) / (n + 2)  # a cautious share
+        ends = np.append(np.diff(margin[order]) != 0, True)  # equal margins stand together
+        allowed = np.flatnonzero((wrong <= min(1 - floor, (1 - right.mean()) / 4)) & (n >= least) & ends)
+        limits.append(float(margin[order][allowed[-1]]) if len(allowed) else sign * float("inf"))
+    low, high = limits
+    return (low, high) if low < high else ((low + high) / 2,) * 2
+
+
+def calibrated(fitted: dict[str, np.ndarray], views: dict[str, np.ndarray], label: np.ndarray) -> Model:
+    """Views calibrated and combined on rows kept apart."""
+    one = np.ones(len(label))
+    margins = [views[v] @ fitted[v] for v in ("text", "meta")]
+    each = [logistic(np.stack([m, one], axis=1), label, one) for m in margins]
     logits = [m * c[0] + c[1] for m, c in zip(margins, each, strict=True)]
-    both = logistic(np.stack([*logits, one], axis=1), label[held], one)
+    both = logistic(np.stack([*logits, one], axis=1), label, one)
     return Model(fitted["text"], fitted["meta"], np.concatenate([*each, both]))
 
 
+def with_features(rows: DataFrame) -> DataFrame:
+    """Rows (id, text, meta, ...) with the text's features as bytes in place of the text."""
+    seen = with_struct(rows, "text", "f", "x: binary", lambda t: [(x.tobytes(),) for x in text_features(t)])
+    return seen.withColumn("x", F.col("f.x")).drop("text", "f")
+
+
+def matrices(seen) -> dict[str, np.ndarray]:
+    text = np.frombuffer(b"".join(seen["x"]), np.float32).reshape(len(seen), -1)
+    return {"text": text, "meta": meta_matrix(seen["meta"].tolist())}
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
-    length: str = "n_chars", label: str = "quality", sample: int = SAMPLE, pool: int = POOL,
+    length: str = "n_chars", label: str = "quality", sample: int = SAMPLE, rounds: int = ROUNDS, take: int = TAKE, floor: float = FLOOR,
 ) -> Model:
-    """Fit on rows of ``docs`` whose ids are in ``labels`` and a pool of others."""
+    """Fit on rows of ``docs`` whose ids are in ``labels`` and on what the views teach each other."""
     marked = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("double").alias("y")).dropna()
     marked = marked.groupBy("id").agg(F.avg("y").alias("y"))
     totals = marked.agg(F.count("*"), F.avg("y"), F.min("y"), F.max("y")).first()
     if not totals[0] or totals[2] == totals[3]:
         return Model(np.zeros(0), np.zeros(0), np.zeros(0), float(totals[1]) if totals[0] else 0.5)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("quality"), F.col("id").cast("string")), 33)
-    n_docs = docs.count()
     some = marked.filter(draw < int(min(1.0, sample / totals[0]) * (1 << 31)))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"),
         meta_buckets(f"`{source}`", f"`{lang}`", f"`{length}`").alias("meta"),
     ).filter("id IS NOT NULL")
-    rest = max(n_docs - totals[0], 1)
-    unmarked = rows.filter(draw < int(min(1.0, pool / rest) * (1 << 31))).join(marked.select("id"), "id", "left_anti")
-    known = rows.join(some, "id").select("id", "text", "meta", "y")
-    both = known.union(unmarked.select("id", "text", "meta", F.lit(None).cast("double").alias("y")))
-    seen = with_struct(both, "text", "f", "x: binary", lambda t: [(x.tobytes(),) for x in text_features(t)])
-    seen = seen.select("id", "meta", "y", "f.x", (F.pmod(F.xxhash64(F.lit("apart"), "id"), F.lit(4)) == 0).alias("apart")).toPandas()
+    known = with_features(rows.join(some, "id").select("id", "text", "meta", "y"))
+    seen = known.withColumn("apart", F.pmod(F.xxhash64(F.lit("apart"), "id"), F.lit(4)) == 0).toPandas()
     seen = seen.sort_values("id", kind="stable").drop_duplicates("id")
-    y = seen["y"].to_numpy(float)
-    is_known, apart = ~np.isnan(y), seen["apart"].to_numpy(bool)
-    y = (np.nan_to_num(y) >= 0.5).astype(float)
-    for part in (is_known & ~apart, is_known & apart):
+    y, apart = (seen["y"].to_numpy(float) >= 0.5).astype(float), seen["apart"].to_numpy(bool)
+    for part in (~apart, apart):
         if len(set(y[part])) < 2:
             return Model(np.zeros(0), np.zeros(0), np.zeros(0), float(totals[1]))
-    text_rows = np.frombuffer(b"".join(seen.pop("x")), np.float32).reshape(len(seen), -1)
-    return co_train(text_rows, meta_matrix(seen["meta"].tolist()), y, is_known, apart)
+    views = matrices(seen)
+    held = {v: x[apart] for v, x in views.items()}
+    train = {v: (x[~apart], y[~apart], np.ones(int((~apart).sum()))) for v, x in views.items()}
+    fitted = {v: logistic(*train[v]) for v in views}
+
+    path, good = shared_dir(docs.sparkSession, "quality"), float(y[~apart].mean())
+    taught: dict[str, set] = {v: set() for v in views}
+    pool = None
+    for n in range(rounds):
+        limits = {v: surest(held[v] @ fitted[v], y[apart], floor) for v in views}
+        if not np.isfinite(list(limits.values())).any():
+            break
+        if pool is None:  # the text classifier's margins of all rows without a label
+            weights = fitted["text"]
+            found = with_struct(rows, "text", "made", "margin: double", lambda t, w=weights: [(float(m),) for m in text_features(t) @ w])
+            found = found.select("id", "meta", F.col("made.margin").alias("text")).join(marked.select("id"), "id", "left_anti")
+            pool = stored(found, f"{path}/pool-{n}")
+        margins = pool.select("id", "text", meta_margin(F.col("meta"), fitted["meta"]).alias("meta"))
+        learned = set()
+        for mine, other in (("text", "meta"), ("meta", "text")):
+            low, high = limits[mine]
+            picks: dict = {}
+            for limit, order, value, most in ((high, F.desc(mine), 1.0, round(take * good)), (low, F.asc(mine), 0.0, take - round(take * good))):
+                if not np.isfinite(limit):
+                    continue
+                sure = margins.filter(F.col(mine) >= limit if value else F.col(mine) <= limit)
+                first = sure.select("id", mine).orderBy(order, "id").limit(most + len(taught[other])).toPandas()["id"]
+                picks |= {i: value for i in [i for i in first.tolist() if i not in taught[other]][:most]}
+            if not picks:
+                continue
+            chosen = docs.sparkSession.createDataFrame(list(picks.items()), f"id {rows.schema['id'].dataType.simpleString()}, y double")
+            lesson = with_features(rows.join(F.broadcast(chosen), "id").select("id", "text", "meta", "y")).toPandas()
+            lesson = lesson.sort_values("id", kind="stable").drop_duplicates("id")
+            more = (matrices(lesson)[other], lesson["y"].to_numpy(float), np.full(len(lesson), 0.3))  # a pseudo-label counts less
+            tried = tuple(np.concatenate(p) for p in zip(train[other], more, strict=True))
+            pupil = logistic(*tried)
+            taught[other] |= set(picks)
+            if area(held[other] @ pupil, y[apart]) >= area(held[other] @ fitted[other], y[apart]):
+                train[other], fitted[other] = tried, pupil
+                learned.add(other)
+        if not learned:
+            break
+        if "text" in learned:
+            pool = None
+    return calibrated(fitted, held, y[apart])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", source: str = "source", lang: str = "lang", length: str = "n_chars") -> DataFrame:
@@ -212,8 +269,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", source: str = "sour
     at = {c: names[docs.columns.index(c)] for c in (text, source, lang, length)}
     found = with_struct(plain, at[text], "made", "margin: double", lambda t: [(float(m),) for m in model.text_margin(t)])
     buckets = meta_buckets(at[source], at[lang], at[length])
-    weights = F.lit([float(x) for x in model.meta])
-    meta = F.aggregate(buckets, F.lit(float(model.meta[-1])), lambda s, b: s + F.get(weights, b))
+    meta = meta_margin(buckets, model.meta)
     c = [float(x) for x in model.combine]
     lt, lm = F.col("made.margin") * c[0] + c[1], meta * c[2] + c[3]
     total = lt * c[4] + lm * c[5] + c[6]

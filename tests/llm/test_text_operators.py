@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +153,28 @@ def test_quality_of_unseen_labels(spark):
     assert all(0 <= s <= 1 for _, _, s, _ in got)
 
 
+@pytest.mark.parametrize("sample", [300, 100_000])
+def test_rounds_never_lower_the_scores_of_unseen_labels(spark, sample):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    unseen = F.pmod(F.xxhash64(F.lit("unseen"), "doc_id"), F.lit(3)) == 0
+    areas = []
+    for rounds in (0, quality.ROUNDS):
+        model = quality.fit(docs, labels.filter(~unseen), sample=sample, rounds=rounds)
+        got = np.array(rows(quality.score(docs, model).join(labels.filter(unseen).dropna(subset=["quality"]).select("doc_id", F.col("quality").alias("y")), "doc_id"), "quality.score", "y"))
+        areas.append(quality.area(got[:, 0], got[:, 1]))
+    assert areas[1] >= areas[0] - 1e-4 and areas[1] > 0.99
+
+
+def test_views_at_chance_may_not_teach():
+    rnd = np.random.default_rng(1)
+    good = (rnd.random(600) < 0.7).astype(float)
+    assert quality.surest(rnd.normal(size=600), good) == (-np.inf, np.inf)
+    low, high = quality.surest(good * 4 + rnd.normal(size=600), good)
+    assert 0 < low <= high < 4
+    assert quality.surest(np.zeros(600), good) == (-np.inf, np.inf)  # equal margins stand together
+    assert quality.area(np.array([0.0, 1, 1, 2]), np.array([0.0, 0, 1, 1])) == 0.875
+
+
 def test_quality_awkward_tables(spark):
     table = awkward(spark)
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 14)] + [(None, 1), (3, None)], "doc_id long, quality int")
