@@ -43,8 +43,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], few: int =
     and goes on in the part that holds the rank: the value itself if the rank falls on one
     of the two, else a stretch with a small share of the rows. Stretches of few rows are
     read. Rounds are plain aggregations, so no task holds or sorts a share of the data; the
-    driver sees counts, bounds and at most ``few`` rows for each rank."""
-    values = df.select(F.col(col).cast("double").alias("v")).filter("v IS NOT NULL")
+    driver sees counts, bounds and at most ``few`` rows for each rank. NULL and NaN are no values."""
+    values = df.select(F.col(col).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
     n = values.count()
     if not n:
         raise ValueError(f"{col} has no values")

@@ -51,13 +51,13 @@ def weighted_sum(
 
 def quantile_bins(df: DataFrame, col: str, n: int = 5, out: str = "bin") -> DataFrame:
     """Bins 0 to n-1 by exact interpolated quantiles, closed on the right, the lowest
-    value included. Coinciding edges raise ``ValueError``."""
+    value included. NULL and NaN have no bin. Coinciding edges raise ``ValueError``."""
     edges = exact_quantiles(df, col, [i / n for i in range(n + 1)])
     if any(a >= b for a, b in zip(edges, edges[1:])):
         raise ValueError(f"bin edges of {col} must differ: {edges}")
     x = F.col(col)
     above = reduce(add, [F.when(x > F.lit(e), 1).otherwise(0) for e in edges[1:-1]], F.lit(0))
-    return df.withColumn(out, F.when(x.isNotNull(), above))
+    return df.withColumn(out, F.when(x.isNotNull() & ~F.isnan(x.cast("double")), above))
 
 
 def bin_labels(df: DataFrame, bin_col: str, labels: Sequence[str], out: str = "label") -> DataFrame:

@@ -249,3 +249,10 @@ def test_country_features_shares_are_over_members(spark):
     assert got["MT"]["funding_share"] == 1.0 and got["GR"]["project_share"] == 0.5
     assert got["MT"]["collab_project_ratio"] == pytest.approx(1 / 3)
     assert sum(r["funding_share"] for r in got.values()) == pytest.approx(1)
+
+
+def test_nan_has_no_bin(spark):
+    rows = [(i, float(i)) for i in range(50)] + [(90 + i, float("nan")) for i in range(3)] + [(99, None)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    got = {r["k"]: r["bin"] for r in scoring.quantile_bins(df, "x").collect()}
+    assert [got[i] for i in (0, 10, 20, 49)] == [0, 1, 2, 4] and {got[k] for k in (90, 91, 92, 99)} == {None}
