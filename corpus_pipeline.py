@@ -28,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.fit(docs.filter(~language_id.held_out()))
     found = language_id.identify(docs, model if model.languages else language_id.any_language())
     language = F.col(f"`{found.columns[-1]}`")
-    return found.filter((language["lang"] != language_id.UNKNOWN) & (language["score"] >= UNSURE)).select(docs.columns)
+    return found.filter((language["lang"] != language_id.UNKNOWN) & (language["score"] >= UNSURE)).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
