@@ -6,12 +6,14 @@ its checks (gzip checksum, version line, header fields, length, closing blank li
 block and payload digests). Where one fails, the reader looks for the next place at which
 a member or a version line begins and a whole valid record follows, goes on from there,
 and logs the bytes between as a quarantined gap with the reason. Headers, and so urls, may
-be of any length.
+be of any length. Ids are percent-encoded in their fields, so that any text comes back; an url with other
+than visible ASCII characters is encoded in its field and kept whole, encoded, in one of its own.
 
 Of rows with equal payloads (compared by SHA-256 and length) of at least ``min_revisit``
 bytes, those with the smallest id are ``response`` and the others ``revisit``; the latter
 carry the headers and digest but no payload. The writer keeps its work in memory for one
-record, the reader for one record and one chunk.
+record, the reader for one record and one chunk: before it reads a long record, it looks at
+the place where that must end, so a damaged length costs nothing.
 
 Nulls: a null payload is empty; a null url is an empty field; null ids take part as a
 revisit of the smallest id there is, or stay responses where there is none; repeated rows
@@ -25,6 +27,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,18 @@ MEMBER = re.compile(rb"\x1f\x8b\x08")
 LINE = re.compile(rb"WARC/1\.[01]\r\n")
 
 
+# Characters an url keeps as they are; ids keep all of them but the percent sign.
+VISIBLE = "".join(map(chr, range(0x21, 0x7F)))
+
+
+def encoded(text: str) -> str:
+    return quote(text, VISIBLE.replace("%", ""))
+
+
+def decoded(text: str | None) -> str | None:
+    return None if text is None else unquote(text)
+
+
 def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -53,17 +68,19 @@ def record(page_id: str | None, url: str, payload: bytes, refers_to: str | None)
         ("WARC-Type", "response" if refers_to is None else "revisit"),
         ("WARC-Record-ID", f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}').urn}>"),
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", re.sub(r"[\r\n]", "", url)),
+        ("WARC-Target-URI", quote(url, VISIBLE)),
         ("Content-Type", "application/http;msgtype=response"),
         ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
         ("WARC-Block-Digest", f"sha1:{digest(block)}"),
     ]
+    if quote(url, VISIBLE) != url:
+        fields.append(("WARC-Source-URL", encoded(url)))
     if page_id is not None:
-        fields.append(("WARC-Source-ID", page_id))
+        fields.append(("WARC-Source-ID", encoded(page_id)))
     if refers_to is not None:
         fields.append(("WARC-Profile", PAYLOAD_PROFILE))
         fields.append(("WARC-Refers-To", f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}').urn}>"))
-        fields.append(("WARC-Refers-To-Source-ID", refers_to))
+        fields.append(("WARC-Refers-To-Source-ID", encoded(refers_to)))
     fields.append(("Content-Length", str(len(block))))
     head = b"".join(f"{k}: {v}\r\n".encode() for k, v in fields)
     return VERSION + b"\r\n" + head + b"\r\n" + block + END
@@ -146,10 +163,15 @@ class Window:
         self.at += n
 
 
-def parse(data: bytes | bytearray, whole: bool) -> tuple[dict[str, str], bytes, int]:
+def url(fields: dict[str, str]) -> str | None:
+    kept = fields.get("warc-source-url")
+    return fields.get("warc-target-uri") if kept is None else decoded(kept)
+
+
+def parse(data: bytes | bytearray, whole: bool, ahead: Callable[[int], bytes] | None = None) -> tuple[dict[str, str], bytes, int]:
     """Fields, block and length of the record at the start of ``data``; checks it.
 
-    ``whole``: no more bytes follow."""
+    ``whole``: no more bytes follow. ``ahead`` gives the four bytes at a place after the start."""
     if not LINE.match(data):
         raise Damaged("no version line") if whole or len(data) >= 10 else Short
     stop = data.find(END)
@@ -169,6 +191,8 @@ def parse(data: bytes | bytearray, whole: bool) -> tuple[dict[str, str], bytes,
         raise Damaged("no length")
     start, end = stop + 4, stop + 4 + int(length)
     if len(data) < end + 4:
+        if not whole and ahead is not None and (closing := ahead(end)) != END:
+            raise Damaged("length does not match" if len(closing) == 4 else "cut short")
         raise Damaged("cut short") if whole else Short
     if bytes(data[end : end + 4]) != END:
         raise Damaged("length does not match")
@@ -199,9 +223,9 @@ def unpack(data: bytearray, whole: bool) -> tuple[dict[str, str], bytes, int]:
     return fields, block, len(data) - len(z.unused_data)
 
 
-def salvage(read: Callable[[int], bytes]) -> Iterator[tuple[str, int, int, str, dict[str, str], bytes]]:
+def salvage(read: Callable[[int], bytes], peek: Callable[[int], bytes] | None = None) -> Iterator[tuple[str, int, int, str, dict[str, str], bytes]]:
     """("record", start, end, "", fields, block) and ("gap", start, end, reason, {}, b"")
-    of a file, in order and without holes."""
+    of a file, in order and without holes. ``peek`` gives the four bytes at a place of the file."""
     w, gap, reason = Window(read), None, ""
     while True:
         if not w.data and not w.more():
@@ -211,7 +235,10 @@ def salvage(read: Callable[[int], bytes]) -> Iterator[tuple[str, int, int, str,
             continue
         gz = w.data[:3] == b"\x1f\x8b\x08"
         try:
-            fields, block, used = (unpack if gz else parse)(w.data, w.ended)
+            if gz:
+                fields, block, used = unpack(w.data, w.ended)
+            else:
+                fields, block, used = parse(w.data, w.ended, peek and (lambda n: peek(w.at + n)))
         except Short:
             # Ask for as much again as there is, so a long record is tried few times.
             for _ in range(max(1, len(w.data) // CHUNK)):
@@ -262,7 +289,15 @@ def read_archives(spark: SparkSession, path: str, files: DataFrame) -> DataFrame
             for name in batch.column("file").to_pylist():
                 rows, size = [], 0
                 with open_file(f"{path}/{name}") as f:
-                    for entry, a, b, reason, fields, block in salvage(f.read):
+
+                    def peek(at: int, f=f) -> bytes:
+                        here = f.tell()
+                        f.seek(min(at, f.size()))
+                        found = f.read(4)
+                        f.seek(here)
+                        return found
+
+                    for entry, a, b, reason, fields, block in salvage(f.read, peek):
                         http, _, payload = block.partition(END)
                         kind = fields.get("warc-type")
                         if kind == "response":
@@ -272,8 +307,8 @@ def read_archives(spark: SparkSession, path: str, files: DataFrame) -> DataFrame
                             n, payload = int(said[1]) if said else None, None
                         marked = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
                         rows.append(
-                            (name, entry, a, b, reason or None, kind, fields.get("warc-source-id"), fields.get("warc-target-uri"),
-                             marked, fields.get("warc-refers-to-source-id"), n, payload)
+                            (name, entry, a, b, reason or None, kind, decoded(fields.get("warc-source-id")), url(fields),
+                             marked, decoded(fields.get("warc-refers-to-source-id")), n, payload)
                         )
                         size += len(block)
                         if size > 4 << 20:
