@@ -7,8 +7,9 @@ takes the codeword with the least loss: the sum over bits of log(1 + exp(-bit *
 each bit weighted by how well its classifier did in training. A text whose best codeword
 leads the next by less than ``AMBIGUOUS`` per bit is flagged.
 
-Gram counts come from a sample of labelled rows of about ``SAMPLE`` in all, chosen by a
-hash of their ids, whole texts; the model has one column per bit and a row per hash bucket.
+Gram counts come from a sample of labelled rows of about ``SAMPLE`` in all, but about ``LEAST`` of each language or
+all it has, chosen by a hash of their ids, whole texts. The ``MOST`` most frequent labels are learned, which bounds what
+the driver sees; the model has one column per bit and a row per hash bucket.
 
 Nulls: a null text, or one without a letter, gets ``und`` and score 0; rows with a null
 label teach nothing; null ids count as empty ones when rows are chosen. Without labels every text is ``und``; with
@@ -30,7 +31,8 @@ from fundscape.llm.common import row_ranges, with_struct
 
 UNKNOWN = "und"
 BUCKET_BITS = 15
-SAMPLE = 20_000  # labelled rows, about, that the classifiers are fitted on
+SAMPLE, LEAST = 20_000, 200  # labelled rows, about, that the classifiers are fitted on, in all and of a language
+MOST = 200  # languages that are told apart
 AMBIGUOUS = 0.02
 FULL_CODE = 5  # up to so many languages get all distinct columns
 
@@ -140,14 +142,18 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))) % 4 == 2
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """Learn from the text and label of ``docs``; the caller leaves held-out rows out."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, least: int = LEAST, most: int = MOST) -> Model:
+    """Learn from the text and label of ``docs``; the caller leaves held-out rows out. About ``sample`` rows
+    are drawn in all, but about ``least`` of each language, and all of one that has fewer. Of more than ``most``
+    labels the most frequent are learned."""
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    n = rows.select("lang").count()
-    if n > sample:
-        share = int(sample / n * (1 << 31))
-        rows = rows.filter(F.shiftrightunsigned(F.xxhash64(F.lit("language"), "id"), 33) < share)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    known = sizes.orderBy(F.desc("n"), "lang").limit(most).collect()
+    shares = [(r["lang"], int(min(1.0, max(sample / n, least / r["n"])) * (1 << 31))) for r in known]
+    drawn = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share long"))
+    rows = rows.join(drawn, "lang").filter(F.shiftrightunsigned(F.xxhash64(F.lit("language"), "id"), 33) < F.col("share"))
     rows = rows.select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
