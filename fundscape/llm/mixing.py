@@ -10,11 +10,14 @@ aggregation and steps, halving the step where it would overshoot.
 Rates become copies: every document gets the whole part, and one more goes to documents
 in the order of a hash of id and text while the source's remaining tokens last. The place
 where they run out is found by narrowing hash ranges, one histogram per source and round,
-never by sorting a source; what is left is filled by later documents small enough for it.
+never by sorting a source; what is left is filled by later documents small enough for it, in
+``PASSES`` passes. The first pass stops at a document that is larger than what its source still
+lacks, so a source misses its target by less than its longest document.
 
 Nulls: a null source is a source of its own, last in order; a null text has size 0; a null
-id hashes as such. Repeated rows hash alike and are taken together or not at all, unless
-they no longer fit. A source without tokens has target 0. An empty table gives no rows.
+id hashes as such. Repeated rows (of a source, id and text) are numbered, in any order, and each
+number hashes on its own, so that copies are taken one by one; how many are taken depends on nothing
+but the table. A source without tokens has target 0. An empty table gives no rows.
 Only the columns named are read."""
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundscape.llm.common import shared_dir, stored
+from fundscape.llm.common import partitions, shared_dir, stored
 
 TOLERANCE = 1e-12
 STEPS = 60  # of Newton; a target at three times the source needs about 7
@@ -37,24 +40,41 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def source_targets(sizes: DataFrame, most: float = 3.0) -> DataFrame:
+def running(df: DataFrame, order: list[Column], sums: list[str], path: str) -> tuple[DataFrame, dict[str, float]]:
+    """``df`` with ``row`` (from 0) and for each of ``sums`` its total before the row, in an ``order`` that
+    tells rows apart, and the totals of all rows. Rows are sorted over range partitions; the driver sees
+    one line per partition."""
+    ranges = stored(df.repartitionByRange(partitions(df.sparkSession), *order).withColumn("pid", F.spark_partition_id()), path)
+    found = sorted(ranges.groupBy("pid").agg(F.count("*"), *[F.sum(c) for c in sums]).collect())
+    before = [[0] * (found[-1][0] + 1 if found else 1) for _ in range(len(sums) + 1)]
+    total = [0] * (len(sums) + 1)
+    for pid, *values in found:
+        for i, v in enumerate(values):
+            before[i][pid] = total[i]
+            total[i] += v
+    w = Window.partitionBy("pid").orderBy(*order)
+    above = w.rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumn("row", F.row_number().over(w) - 1 + F.get(F.lit(before[0]), F.col("pid")))
+    for c, b in zip(sums, before[1:], strict=True):
+        placed = placed.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(above), F.lit(0)) + F.get(F.lit(b), F.col("pid")))
+    return placed.drop("pid"), dict(zip(sums, total[1:], strict=True))
+
+
+def source_targets(sizes: DataFrame, most: float, path: str) -> DataFrame:
     """source, source_size, target: sources weigh 1, 2, 3, repeating, by code point (null
     last) and share all tokens by weight, at most ``most`` times their own; what exceeds
     that is shared again by weight.
 
     In the order of limit / weight the sources held at their limit come first, so the
-    level of the rest follows from running sums. These windows see one row per source."""
-    w = Window.orderBy(F.col("source").asc_nulls_last())
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    per = per.withColumn("weight", (F.row_number().over(w) - 1) % 3 + 1).withColumn("limit", most * F.col("source_size"))
-    by = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, every = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.sum("source_size").over(every) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))
-    weight_left = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    level = left / weight_left
-    per = per.withColumn("level", F.when(F.col("limit") >= level * F.col("weight"), level))
-    per = per.withColumn("level", F.first("level", ignorenulls=True).over(every))
-    target = F.least(F.col("limit"), F.coalesce(F.col("level") * F.col("weight"), F.col("limit")))
+    level of the rest follows from running sums."""
+    source = F.col("source").asc_nulls_last()
+    per, _ = running(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), [source], [], f"{path}/by-source")
+    per = per.withColumn("weight", F.col("row") % 3 + 1).withColumn("limit", most * F.col("source_size")).drop("row")
+    per, total = running(per, [F.col("limit") / F.col("weight"), source], ["source_size", "limit", "weight"], f"{path}/by-limit")
+    left = (F.lit(total["source_size"]) - F.col("limit_before")) / (F.lit(total["weight"]) - F.col("weight_before"))
+    per = stored(per.withColumn("left", left), f"{path}/levels")
+    level = per.filter(F.col("limit") >= F.col("left") * F.col("weight")).agg(F.min_by("left", "row")).scalar()
+    target = F.least(F.col("limit"), F.coalesce(level * F.col("weight"), F.col("limit")))
     return per.select("source", "source_size", target.alias("target"))
 
 
@@ -125,6 +145,7 @@ def mix(
         docs.select(i.alias("id"), F.col(f"`{source}`").alias("source"), word_count(t).alias("size"), place(i, t).alias("u")),
         f"{path}/sizes",
     )
+    sizes = told_apart(sizes, f"{path}/copies")
     rates, n_sources = mixing_rates(sizes, path, most)
     out = with_source(sizes, rates, n_sources, "source_size", "target", "rate", "whole", "takes")
     return out.select(
@@ -134,7 +155,34 @@ def mix(
 
 def place(id_: Column, text: Column) -> Column:
     """A document's place in the order in which its source's last copies are given out."""
-    return F.shiftrightunsigned(F.xxhash64(id_.cast("string"), F.coalesce(text, F.lit(""))), 64 - HASH_BITS)
+    return _place(id_.cast("string"), F.coalesce(text, F.lit("")))
+
+
+def told_apart(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with places ``u`` of their own for repeated rows of a source: the hash of ``u`` and their number.
+
+    Numbers run over partitions, each of which counts its own rows of a place, from where the
+    partitions before it stopped; no task sees all copies. Rows that are not repeated keep their place."""
+    names = rows.columns
+    counts = rows.groupBy("source", "u").agg(F.count("*").alias("n")).filter("n > 1")
+    again = stored(counts.select(F.col("source").alias("_s"), F.col("u").alias("_u")), f"{path}/repeated")
+    if again.isEmpty():
+        return rows
+    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("u") == F.col("_u"))
+    marked = rows.withColumns({"_pid": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).join(again, same, "left")
+    marked = stored(marked, f"{path}/marked")
+    copies = marked.filter("_u IS NOT NULL").drop("_s", "_u")
+    per = copies.groupBy(F.col("source").alias("_s"), F.col("u").alias("_u"), F.col("_pid").alias("_p")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("_s", "_u").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    per = stored(per.withColumn("_start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"), f"{path}/starts")
+    own = Window.partitionBy("source", "u", "_pid").orderBy("_at")
+    numbered = stored(copies.withColumn("_n", F.row_number().over(own)), f"{path}/numbered")
+    numbered = numbered.join(per, same & (F.col("_pid") == F.col("_p"))).withColumn("u", _place(F.col("u"), F.col("_start") + F.col("_n")))
+    return marked.filter("_u IS NULL").select(names).union(numbered.select(names))
+
+
+def _place(*parts: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*parts), 64 - HASH_BITS)
 
 
 def took() -> Column:
@@ -154,6 +202,7 @@ def repeated(
     names = [f"_{i}" for i in range(len(docs.columns))]
     i, t, s = (F.col(names[docs.columns.index(c)]) for c in (id_col, text, source))
     rows = docs.toDF(*names).withColumns({"source": s, "size": word_count(t), "u": place(i, t)})
+    rows = told_apart(rows, f"{path}/copies")
     rates, n_sources = mixing_rates(stored(rows.select("source", "size", "u"), f"{path}/sizes"), path, most)
     out = with_source(rows, rates, n_sources, "whole", "takes").withColumn("copies", copies()).filter("copies > 0")
     return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(names).toDF(*docs.columns)
@@ -163,7 +212,7 @@ def mixing_rates(sizes: DataFrame, path: str, most: int) -> tuple[DataFrame, int
     """Per source: source_size, target, rate, whole (copies that all its documents get) and
     takes, which documents get one more; and the number of sources. ``sizes``: source,
     size, u."""
-    rates = balance(source_targets(sizes, float(most)), f"{path}/dual")
+    rates = balance(source_targets(sizes, float(most), f"{path}/targets"), f"{path}/dual")
     n_sources = rates.count()
     rate = F.least(F.exp("tilt"), F.lit(float(most)))
     rates = rates.withColumn("rate", rate).withColumn("whole", F.floor(rate + 1e-9))
