@@ -61,3 +61,15 @@ def test_no_language_to_learn(spark):
     docs = spark.createDataFrame([(i, t, None, "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.identify_language(spark, docs, SF)
     assert kept.columns == docs.columns and sorted(r[0] for r in kept.collect()) == [0, 4, 5]
+
+
+def test_stages_take_empty_tables_and_clashing_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = docs.withColumns({"a.b": docs.doc_id, "language": docs.lang, "u": docs.source, "Key": docs.text, "_0": docs.n_chars})
+    for k, table in enumerate((odd, odd.limit(0))):
+        for name, stage in corpus_pipeline.STAGES:
+            before = table.columns
+            stage(spark, table, SF).write.parquet(f"{tmp_path}/{k}-{name}")
+            table = spark.read.parquet(f"{tmp_path}/{k}-{name}")
+            assert table.columns == before or name == "token_output"
+        assert (table.count() > 0) == (not k)

@@ -281,3 +281,43 @@ def test_perfect_hash():
         assert sorted(token_store.find_slots(mph, *h).tolist()) == list(range(n))
     with pytest.raises(ValueError, match="share"):
         token_store.build_mph(np.ones(2, np.uint64), np.ones(2, np.uint64))
+
+
+@pytest.mark.parametrize("gzip", [True, False])
+def test_any_id_and_url_come_back(spark, gzip):
+    ids = [" 7 ", "8", "a\r\nb", "", "été 100%", "x:y%0A", "\t", None]
+    urls = ["http://x/a%20b", "http://x/a b", "line\r\nbreak", " http://é ", "", None, "http://x/?q=%25", "plain"]
+    table = spark.createDataFrame([(i, u, "same" if n < 4 else f"p{n}") for n, (i, u) in enumerate(zip(ids, urls, strict=True))], "page_id string, url string, html string")
+    path = shared_dir(spark, "warc-ids")
+    got = rows(warc.read_archives(spark, path, warc.write_archives(table, path, gzip=gzip)), "entry", "source_id", "url", "refers_to")
+    assert sorted(got, key=str) == sorted([("record", i, u or "", "" if n < 3 else None) for n, (i, u) in enumerate(zip(ids, urls, strict=True))], key=str)
+
+
+def test_damaged_length_is_not_read_through():
+    made = [warc.record(str(i), "u", b"x" * 1000, None) for i in range(3)]
+    data = made[0] + made[1].replace(b"\r\nContent-Length: 10", b"\r\nContent-Length: 20000010", 1) + made[2] + b"\0" * (30 << 20) + made[0]
+    f, most = io.BytesIO(data), [0]
+
+    def read(n):
+        most[0] += n
+        return f.read(n)
+
+    out = []
+    for entry in warc.salvage(read, lambda at: data[at : at + 4]):
+        out.append((entry[0], entry[4].get("warc-source-id"), most[0]))
+        if len(out) == 3:
+            break
+    assert [x[:2] for x in out] == [("record", "0"), ("gap", None), ("record", "2")] and out[-1][2] <= 2 << 20
+    assert [x[0] for x in warc.salvage(io.BytesIO(data).read, lambda at: data[at : at + 4])] == ["record", "gap", "record", "gap", "record"]
+
+
+def test_repeated_rows_meet_the_targets(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j", f"s{i % 3}") for i in range(1200)], "doc_id long, text string, source string")
+    got = rows(mixing.mix(docs), "source", "size", "target", "copies")
+    target, taken = {r[0]: r[2] for r in got}, defaultdict(int)
+    for s, size, _, copies in got:
+        taken[s] += size * copies
+    assert len(got) == 1200 and all(abs(taken[s] - t) <= 10 for s, t in target.items()) and min(target.values()) > 0
+    assert sorted(got) == sorted(rows(mixing.mix(docs.repartition(7)), "source", "size", "target", "copies"))
+    mixed = mixing.repeated(docs).groupBy("source").count().collect()
+    assert {r["source"]: 10 * r["count"] for r in mixed} == dict(taken)

@@ -153,6 +153,16 @@ def test_quality_of_unseen_labels(spark):
     assert all(0 <= s <= 1 for _, _, s, _ in got)
 
 
+def test_rare_languages_are_learned_from_large_tables(spark):
+    rnd = random.Random(6)
+    words = {"aa": "sol luna mar cielo".split(), "bb": "wald berg fluss stein".split(), "rare": "zyx qwv kjh xzq".split()}
+    lang = ["aa", "bb"] * 1500 + ["rare"] * 8
+    docs = spark.createDataFrame([(i, " ".join(rnd.choice(words[x]) for _ in range(12)), x) for i, x in enumerate(lang)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, sample=100, least=20)
+    assert model.languages == ["aa", "bb", "rare"] and model.predict(["qwv zyx kjh"])[0][0] == "rare"
+    assert language_id.fit(docs, sample=100, most=2).languages == ["aa", "bb"]
+
+
 @pytest.mark.parametrize("sample", [300, 100_000])
 def test_rounds_never_lower_the_scores_of_unseen_labels(spark, sample):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
