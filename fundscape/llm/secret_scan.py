@@ -3,10 +3,13 @@
 ``scan`` keeps every base match and adds what assignment-aware lexing finds. The lexer
 reads source and configuration syntax: ``name = literal``, ``name: literal``, ``name :=``
 and ``name =>``, keys in quotes or brackets, attributes, keyword arguments, with string
-literals in any quotes (adjacent or joined by ``+``), bare values after ``=`` or ``:`` and other
-names. A name that stands for a literal carries it on: in ``part = "x7..."`` followed by
-``api_key = part`` the literal of ``part`` is scored under ``api_key`` as well, through any
-number of names of any length. A literal is
+literals in any quotes (adjacent or joined by ``+``, on the same or the next line), lists of them, literals
+among the arguments of a call (``os.getenv("X", "...")``), bare values after ``=`` or ``:`` and other
+names. Literals passed to a function are paired with its name (``set_password("...")``), the ``value`` of a
+tag with its ``key``, ``name`` or ``id``. A name that stands for a literal carries it on: with ``part = "x7..."`` and
+``api_key = part``, in either order or as ``api_key = part = "x7..."``, the literal of ``part`` is scored under
+``api_key`` as well, through any number of names of any length. A name that is assigned
+something else stands for nothing any more. A literal is
 reported where its score reaches ``THRESHOLD``: the weight of the words in its name times
 how much its characters look drawn at random.
 
@@ -50,20 +53,26 @@ LEAST = 8  # characters of a literal
 # at the first place that can begin one in its run of name characters; as the run is taken whole,
 # without going back, long runs are read once.
 STATEMENT = re.compile(
-    r"""(?<![\w$.\-])(?:\d[\w$]*+|[.\-])*+([A-Za-z_$][\w$.\-]*+)["']?\]?[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]*[ \t]*=(?!=)|:=|=>|==?=?|:)[ \t]*(?=["'`A-Za-z0-9_+/$])""",
+    r"""(?<![\w$.\-])(?:\d[\w$]*+|[.\-])*+([A-Za-z_$][\w$.\-]*+)["']?\]?[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]*[ \t]*=(?!=)|:=|=>|==?=?|:)[ \t]*(?:\\?\r?\n[ \t]*(?=["'`]))?(?=[^\s=])""",
     re.ASCII,
 )
 STRING = re.compile(r'''[rbfuRBFU]{0,2}("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)''', re.ASCII)
 JOINED = re.compile(r"[ \t]*(?:\+|\.|\\\n)?[ \t]*", re.ASCII)
 BARE = re.compile(r"[A-Za-z0-9+/_.=~$-]+", re.ASCII)
+OPEN = re.compile(r"(?:[\[(][ \t\r\n]*+)++")
+COMMA = re.compile(r"[ \t\r\n]*+,[ \t\r\n]*+")
+CALL = re.compile(r"""(?<![\w$.\-])([A-Za-z_$][\w$.\-]*+)\([ \t\r\n]*+(?=["'`])""", re.ASCII)
+TAG = re.compile(r"<[A-Za-z][^<>]*+>")
+KEY = re.compile(r"""\b(?:key|name|id)[ \t]*=[ \t]*["']([^"']*)["']""", re.ASCII)
+VALUE = re.compile(r"""\bvalue[ \t]*=[ \t]*["']([^"']*)["']""", re.ASCII)
 IDENTIFIER = re.compile(r"[A-Za-z_$][\w$.]*\Z", re.ASCII)
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", re.ASCII)
 
 
 def name_weight(name: str) -> float:
-    """How sensitive a name is, 0 to 1: the sum over its snake, kebab, dot or camel words."""
+    """How sensitive a name is, 0 to 1: the sum over its snake, kebab, dot or camel words, plurals included."""
     words = [w.lower() for w in WORDS.findall(name)]
-    total = sum(NAME_WEIGHT.get(w, 0.0) for w in words)
+    total = sum(NAME_WEIGHT.get(w, NAME_WEIGHT.get(w.removesuffix("s"), 0.0)) for w in words)
     return min(1.0, max(0.0, total))
 
 
@@ -91,38 +100,93 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], str]]:
-    """name, spans of its literal's parts (without quotes), or the other name it copies."""
-    for m in STATEMENT.finditer(text):
-        at, parts = m.end(), []
-        while s := STRING.match(text, at):
-            parts.append((s.start(1) + 1, s.end(1) - 1))
-            j = JOINED.match(text, s.end())
-            at = j.end() if j else s.end()
+def literal(text: str, at: int) -> tuple[list[tuple[int, int]], int]:
+    """The spans of the parts of the literal at ``at`` (without quotes), and where it ends."""
+    parts = []
+    while s := STRING.match(text, at):
+        parts.append((s.start(1) + 1, s.end(1) - 1))
+        at = JOINED.match(text, s.end()).end()
+    return parts, at
+
+
+def literals(text: str, at: int) -> list[list[tuple[int, int]]]:
+    """The literals in the list of literals, names and numbers that begins at ``at``."""
+    out = []
+    while True:
+        parts, end = literal(text, at)
         if parts:
-            yield m[1], parts, ""
-        elif b := BARE.match(text, m.end()):
+            out.append(parts)
+        elif b := BARE.match(text, at):
+            end = b.end()
+        else:
+            return out
+        if not (c := COMMA.match(text, end)):
+            return out
+        at = c.end()
+
+
+def pairs(text: str) -> Iterator[tuple[str, list[list[tuple[int, int]]], str]]:
+    """name, the literals assigned to it, and the other name it may copy."""
+    for m in STATEMENT.finditer(text):
+        at = m.end()
+        if o := OPEN.match(text, at):
+            yield m[1], literals(text, o.end()), ""
+        elif (parts := literal(text, at)[0]):
+            yield m[1], [parts], ""
+        elif b := BARE.match(text, at):
             value = b[0]
-            if IDENTIFIER.match(value) and not any(c.isdigit() for c in value):
-                yield m[1], [], value
+            if not IDENTIFIER.match(value) or any(c.isdigit() for c in value):
+                yield m[1], [[(b.start(), b.end())]], value
+            elif o := OPEN.match(text, b.end()):  # a call; names among its arguments are no secrets
+                given = literals(text, o.end())
+                yield m[1], [x for x in given if not all(c.isalpha() or c in "_.-" for a, e in x for c in text[a:e])], ""
             else:
-                yield m[1], [(b.start(), b.end())], value
+                yield m[1], [], value
+        else:
+            yield m[1], [], ""
+
+
+def passed(text: str) -> Iterator[tuple[str, list[list[tuple[int, int]]]]]:
+    """name and literals of calls and tags."""
+    if "(" in text:
+        for m in CALL.finditer(text):
+            if name_weight(m[1]):
+                yield m[1], literals(text, m.end())
+    if "<" in text:
+        for m in TAG.finditer(text):
+            key, value = KEY.search(m[0]), VALUE.search(m[0])
+            if key and value:
+                yield key[1], [[(m.start() + value.start(1), m.start() + value.end(1))]]
 
 
 def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals whose name, or a name they are passed on to, is sensitive enough."""
-    if "=" not in text and ":" not in text:
+    if not any(c in text for c in "=:("):
         return []
-    constants: dict[str, list[tuple[int, int]]] = {}
+    constants: dict[str, list[list[tuple[int, int]]]] = {}
+    waiting: dict[str, list[str]] = {}  # names that copy a name not assigned yet
     found = set()
-    for name, parts, other in pairs(text):
-        parts = constants.get(other, parts)
-        if not parts:
-            continue
-        constants[name] = parts
+
+    def report(name: str, given: list[list[tuple[int, int]]]) -> None:
         weight = name_weight(name)
-        if weight and weight * randomness("".join(text[a:b] for a, b in parts)) >= THRESHOLD:
-            found.update((a, b, "lexed") for a, b in parts if b > a)
+        for parts in given:
+            if weight and weight * randomness("".join(text[a:b] for a, b in parts)) >= THRESHOLD:
+                found.update((a, b, "lexed") for a, b in parts if b > a)
+
+    for name, given, other in pairs(text):
+        given = constants.get(other, given) if other else given
+        if not given:
+            constants.pop(name, None)
+            if other:
+                waiting.setdefault(other, []).append(name)
+            continue
+        names = [name]
+        while names:
+            constants[n := names.pop()] = given
+            report(n, given)
+            names += waiting.pop(n, [])
+    for name, given in passed(text):
+        report(name, given)
     return sorted(found)
 
 
