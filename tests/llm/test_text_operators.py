@@ -1,6 +1,7 @@
 """Language ID, quality, secrets, decontamination and the Jaccard join."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -236,3 +237,48 @@ def test_base_spans_are_ascii_and_leftmost():
     assert secret_scan.base_spans("secret=short token: 'abcdefghijkl'") == [(13, 33, "assign")]
     assert secret_scan.base_spans("AKIA1234 xAKIAABCDEFGHIJKLMN") == [(10, 28, "access")]
     assert secret_scan.base_spans("0123456789abcde 0123456789abcdefF") == [(16, 32, "hex")]
+
+
+SYNTAX = [
+    'api_key = part = "{}"', 'api_key = part\npart = "{}"', 'password = os.getenv("DB_PASSWORD", "{}")', 'set_password("{}")', '{{"api_key": ["{}"]}}',
+    '<add key="api_key" value="{}"/>', 'api_key =\n    "{}"', 'client.secret := `{}`', "secret: '{}'", 'DB_PASSWORD={}', 'auth_token => "{}",', 'x(password="{}")',
+    'part = "{}"\nf(secret=part)', 'const apiSecret: string = "{}";', 'passwords = ("{}", other)', 'authorization: "{}"',
+]
+CLEAN = [
+    'part = "{}"\npart = os.environ\napi_key = part', 'name = "{}"', 'checksum("{}")', '<add key="colour" value="{}"/>', 'secret = load(path)', 'version: "{}"',
+    'print("see {} there")', 'password = os.getenv("DB_PASSWORD_STAGING")', 'token = tokenizer.next', 'if token:\n    "what a token is"', 'public_key_path = "{}"', 'list = ["{}"]',
+]
+
+
+def test_planted_literals_are_found_and_others_are_not():
+    rnd = random.Random(7)
+    good = bad = total = 0
+    for _ in range(40):
+        for template, wanted in [*((t, True) for t in SYNTAX), *((t, False) for t in CLEAN)]:
+            value = "".join(rnd.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(rnd.randrange(16, 40)))
+            text = "some prose before.\n" + template.format(value) + "\nand after, too"
+            spans = [text[a:b] for a, b, _ in secret_scan.lexed_spans(text)]
+            total += wanted
+            good += wanted and value in spans
+            bad += len([x for x in spans if not wanted or x != value])
+    assert good / total >= 0.98 and good / (good + bad) >= 0.99, (good, bad, total)
+
+
+def test_lexer_is_linear_on_awkward_runs():
+    for run in ('a=["' * 200_000, "x: (a, " * 200_000, 'f("' * 200_000, "<a " * 300_000, "((((" * 300_000, 'k = ["a", ' * 100_000, "a = b\n" * 200_000):
+        secret_scan.lexed_spans(run)
+
+
+def test_base_columns_match_a_plain_loop_over_a_whole_table(spark):
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    want = []
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    for d, t in rows(table, "doc_id", "text"):
+        t = t or ""
+        found = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[2]) >= 12]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+        n = [sum(k == i for _, k, _ in found) for i in range(3)]
+        want.append((d, *n, ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))))
+    got = rows(secret_scan.scan(table), "doc_id", "n_assign", "n_access", "n_hex", "base_spans")
+    assert sorted(got) == sorted(want) and sum(r[1] for r in got) > 10
