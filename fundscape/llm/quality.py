@@ -8,7 +8,7 @@ class as the labels suggest, join the training set of the other.
 
 A view teaches only what it knows: on labelled rows kept apart, the share of wrong labels among
 those at least as sure must be at most 1 - ``FLOOR``, and at most a quarter of what guessing that class gets
-wrong; a view at chance teaches nothing. A pupil takes a lesson only if that does not lower its area under the
+wrong; a view at chance teaches nothing. A pupil takes a lesson only if that raises its area under the
 curve on the rows kept apart. Rounds end when nobody learns anything. At the end each view is calibrated
 on the rows kept apart, the two calibrated log-odds are combined by a last
 logistic fit on the same rows, and all documents are scored.
@@ -248,7 +248,7 @@ def fit(
             tried = tuple(np.concatenate(p) for p in zip(train[other], more, strict=True))
             pupil = logistic(*tried)
             taught[other] |= set(picks)
-            if area(held[other] @ pupil, y[apart]) >= area(held[other] @ fitted[other], y[apart]):
+            if area(held[other] @ pupil, y[apart]) > area(held[other] @ fitted[other], y[apart]):
                 train[other], fitted[other] = tried, pupil
                 learned.add(other)
         if not learned:
