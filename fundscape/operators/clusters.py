@@ -28,11 +28,11 @@ def text_clusters(
     ``(key, words, cluster)``. Fewer than ``min_texts`` texts give no rows.
 
     Words share one of ``n_features`` hash buckets when there are more words than that, and
-    then weigh as one word. Keys and vectors are held, on memory and disk, while the fit
-    runs and released after it; words are made again from the texts for the result."""
+    then weigh as one word. Words are made once and stored. Vectors are held, on memory and disk,
+    while the fit runs and released after it."""
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    words = df.filter(F.col(text).isNotNull()).select(key, tokens(F.col(text), stop_words).alias("words"))
+    words = stored(df.filter(F.col(text).isNotNull()).select(key, tokens(F.col(text), stop_words).alias("words")), "words")
     hashed = HashingTF(inputCol="words", outputCol="counts", numFeatures=n_features)
     counts = hashed.transform(words).select("counts").persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -13,9 +13,11 @@ from fundscape.operators.scoring import ranked, top_k
 from fundscape.sources.lookups import parameter_table
 
 
-def term_counts(phrases: DataFrame, term: str = "term") -> DataFrame:
-    """How often each term occurs, most frequent first."""
-    return ranked(phrases.groupBy(term).agg(F.count("*").alias("count")), "count", term)
+def term_counts(phrases: DataFrame, term: str = "term", ordered: bool = True) -> DataFrame:
+    """How often each term occurs, most frequent first. That order sorts every term there is; leave
+    it out where only the first few are wanted."""
+    counts = phrases.groupBy(term).agg(F.count("*").alias("count"))
+    return ranked(counts, "count", term) if ordered else counts
 
 
 def top_terms(counts: DataFrame, k: int = 100, term: str = "term", count: str = "count") -> DataFrame:

@@ -31,6 +31,7 @@ from fundscape.operators.features import (
     preprocess_gdp,
 )
 from fundscape.operators.keyphrases import extract_keyphrases
+from fundscape.operators.models import fit_report
 from fundscape.operators.participation import flagged_participations, parse_money
 from fundscape.operators.projection import project_scores, projection_report
 from fundscape.operators.relevance import distinct_values, select_relevant
@@ -151,6 +152,7 @@ def run(
         store(feature_importance(load("country_features")), "feature_importance", "json")
         weighted = feature_importance(scored_countries(load("country_features")), label="Weighted_Score", seed=42)
         store(weighted, "feature_importance_weighted")
+        store(fit_report(scored_countries(load("country_features")), trees=20), "score_models")
     if "text_analysis" in stages:
         phrases = extract_keyphrases(load("projects_preprocessed"), stop_words=stop_words, stems=stems)
         store(phrases, "project_keyphrases", "json")

@@ -422,7 +422,7 @@ def term_counts(spark, sf):
 
 @query
 def top_terms(spark, sf):
-    return serving.top_terms(serving.term_counts(_terms(spark, sf)), 100)
+    return serving.top_terms(serving.term_counts(_terms(spark, sf), ordered=False), 100)
 
 
 @query

@@ -117,6 +117,8 @@ def test_whole_analysis_and_single_stage(spark, tmp_path):
     assert read_stage(spark, out, "eu_iso2").count() == 27
     importance = read_stage(spark, out, "feature_importance")
     assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1)
+    fits = {r["label"]: r for r in read_stage(spark, out, "score_models").collect()}
+    assert set(fits) == {"Score", "Weighted_Score"} and all(1 <= r["kept"] <= r["trees"] == 20 for r in fits.values())
     phrases = read_stage(spark, out, "project_keyphrases")
     assert phrases.count() > 0 and phrases.filter(F.size("phrases") > 5).count() == 0
     before = sorted(map(str, read_stage(spark, out, "country_projections").collect()))
