@@ -1,15 +1,15 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
-Each task cuts its documents into shards, builds a suffix array of a shard's words and
-binary-searches the benchmark in it: every window of ``window`` words of an item (an item
-of fewer words is one window) for all places where it occurs, and, on request, every item
-suffix for its longest verbatim match. Words of a document that lie in an occurrence are
-hit; a document with a hit is contaminated. Whole documents are in one shard, so results
-need no shuffle, and removal is a filter.
+Each task cuts its documents into shards, numbers a shard's words, builds one suffix array of
+them and binary-searches in it every suffix of every benchmark item for its longest verbatim match.
+A suffix that matches at least ``window`` words (an item of fewer words: all of them) gives
+the range of places where its window occurs. Words of a document that lie in an occurrence are
+hit; a document with a hit is contaminated, and lists the longest matches that were found in
+it. Whole documents are in one shard, so results need no shuffle, and removal is a filter.
 
 The benchmark is written once, in blocks of at most about ``BLOCK_WORDS`` words, to the
-shared folder; a task holds one block at a time and goes through them all. Words that a
-block lacks cannot be part of a match, nor can runs of its words shorter than its
+shared folder; a task holds one block at a time and goes through them all. Words that no
+block has cannot be part of a match, nor can runs of other words shorter than the
 shortest window; both are left out of the suffix array, which changes no match.
 
 Nulls: a null text has no words. An item without words has no windows; an item with null
@@ -22,14 +22,16 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscape.llm.common import read_file, row_ranges, shared_dir, stored, with_struct, words, write_file
+from fundscape.llm.common import read_file, shared_dir, stored, with_struct, words, write_file
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -39,8 +41,9 @@ SHARD_BYTES = 16 << 20  # of text; one longer text is a shard of its own
 # -- benchmark blocks ----------------------------------------------------------------
 
 
-def write_blocks(benchmark: DataFrame, path: str, id_col: str, text: str) -> list[str]:
-    """Deal items to blocks by hash; returns the blocks' files."""
+def write_blocks(benchmark: DataFrame, path: str, id_col: str, text: str) -> list[tuple[str, int, int]]:
+    """Deal items to blocks by hash; returns the blocks' files with the lengths of their
+    shortest and longest items. Beside each file lies one with the block's distinct words."""
     items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // (BLOCK_WORDS * 6)))
@@ -55,32 +58,41 @@ def write_blocks(benchmark: DataFrame, path: str, id_col: str, text: str) -> lis
         for rows in blocks.values():
             name = f"{path}/{uuid.uuid4().hex}.json"
             write_file(name, [json.dumps(rows).encode()])
-            yield pa.record_batch([pa.array([name])], names=["file"])
+            write_file(f"{name}.words", ["\n".join({w for r in rows for w in r[1]}).encode()])
+            sizes = [len(r[1]) for r in rows]
+            yield pa.record_batch([pa.array([name]), pa.array([min(sizes)]), pa.array([max(sizes)])], names=["file", "least", "most"])
 
     dealt = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")).repartition(n, "block")
-    made = stored(dealt.mapInArrow(write, "file string"), f"{path}/blocks")
-    return sorted(r.file for r in made.collect())
+    made = stored(dealt.mapInArrow(write, "file string, least long, most long"), f"{path}/blocks")
+    return sorted(tuple(r) for r in made.collect())
 
 
 class Block:
-    """A block's vocabulary, its distinct windows by length, and its items as word ids."""
+    """A block's items one after another as word numbers, a 0 after each, and the suffixes that hold a window."""
 
     def __init__(self, file: str, window: int):
         rows = json.loads(read_file(file))
-        self.vocabulary: dict[bytes, int] = {}
+        numbers: dict[str, int] = defaultdict(count(1).__next__)
         self.ids = [r[0] for r in rows]
-        number = lambda w: self.vocabulary.setdefault(w.encode(), len(self.vocabulary) + 1)
-        self.items = [np.fromiter(map(number, r[1]), np.int32, len(r[1])) for r in rows]
-        self.longest = max(map(len, self.items))
-        self.shortest = min(min(len(i), window) for i in self.items)
-        self.windows: list[tuple[np.ndarray, list[set[str]]]] = []  # rows of word ids, ids of the items that hold them
-        for k in sorted({min(len(i), window) for i in self.items}):
-            found: dict[bytes, set[str]] = {}
-            for item_id, i in zip(self.ids, self.items, strict=True):
-                if min(len(i), window) == k:
-                    for a in range(len(i) - k + 1):
-                        found.setdefault(i[a : a + k].tobytes(), set()).update(() if item_id is None else (item_id,))
-            self.windows.append((np.frombuffer(b"".join(found), np.int32).reshape(-1, k), list(found.values())))
+        sizes = np.asarray([len(r[1]) for r in rows])
+        self.flat = np.fromiter((n for r in rows for n in (*map(numbers.__getitem__, r[1]), 0)), np.int32, int((sizes + 1).sum()))
+        self.vocabulary = [w.encode() for w in numbers]
+        least = np.minimum(sizes, window)
+        suffixes = sizes - least + 1
+        self.item = np.repeat(np.arange(len(rows)), suffixes)
+        self.item_at = np.arange(len(self.item)) - np.repeat(np.cumsum(suffixes) - suffixes, suffixes)
+        self.at = np.repeat(np.cumsum(sizes + 1) - sizes - 1, suffixes) + self.item_at
+        self.least = np.repeat(least, suffixes)
+        # Equal windows have one number, and the ids of all items that hold them.
+        self.holders: list[set[str]] = []
+        seen: dict[bytes, int] = {}
+        self.window = np.empty(len(self.at), np.int64)
+        for i, (a, k, item) in enumerate(zip(self.at.tolist(), self.least.tolist(), self.item.tolist(), strict=True)):
+            w = self.window[i] = seen.setdefault(self.flat[a : a + k].tobytes(), len(seen))
+            if w == len(self.holders):
+                self.holders.append(set())
+            if self.ids[item] is not None:
+                self.holders[w].add(self.ids[item])
 
 
 # -- suffix array --------------------------------------------------------------------
@@ -108,24 +120,30 @@ class Suffixes:
         self.words[to] = sequence[source]
         self.origin = np.full(n + 1, -1, np.int64)
         self.origin[to] = source
-        rank, h = self.words.astype(np.int64), 1
+        rank, h, ranks = self.words.astype(np.int64), 1, 0
         reach = min(depth, int(lengths.max(initial=0)))
-        while h < reach:
+        while h < reach and ranks < len(to):
             ahead = np.zeros_like(rank)
             ahead[:-h] = rank[h:]
             ahead[rank == 0] = 0
             key = rank * (int(rank.max()) + 1) + ahead
-            rank[to] = np.unique(key[to], return_inverse=True)[1] + 1
+            kinds, place = np.unique(key[to], return_inverse=True)
+            rank[to], ranks = place + 1, len(kinds)
             h *= 2
         self.order = to[np.argsort(rank[to], kind="stable")]
 
-    def compare(self, queries: np.ndarray, at: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def compare(self, queries: np.ndarray, at: np.ndarray, places: np.ndarray, most: np.ndarray | None = None, above: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """For each query (a place in the flat, 0-ended ``queries``) and suffix: whether
-        the suffix is less, and how many words they share."""
+        the suffix is less, and how many words they share. Where ``most`` words are given
+        and shared, the suffix is less if ``above``."""
         shared = np.zeros(len(at), np.int64)
         left = np.arange(len(at))
         less = np.zeros(len(at), bool)
         while len(left):
+            if most is not None:
+                full = shared[left] == most[left]
+                less[left[full]] = above
+                left = left[~full]
             q, s = queries[at[left] + shared[left]], self.words[places[left] + shared[left]]
             same = (q == s) & (q > 0)
             done = left[~same]
@@ -134,33 +152,27 @@ class Suffixes:
             shared[left] += 1
         return less, shared
 
-    def insertion(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def insertion(self, queries: np.ndarray, at: np.ndarray, most: np.ndarray | None = None, above: bool = False) -> np.ndarray:
         """Binary search: for each query the number of suffixes that are less."""
         lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(self.order), np.int64)
         while len(open_ := np.flatnonzero(lo < hi)):
             mid = (lo[open_] + hi[open_]) // 2
-            less, _ = self.compare(queries, at[open_], self.order[mid])
+            less, _ = self.compare(queries, at[open_], self.order[mid], None if most is None else most[open_], above)
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
         return lo
 
-    def ranges(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and past-last suffix that begins with each row of ``windows``."""
-        n, k = windows.shape
-        low = np.concatenate([windows, np.zeros((n, 1), np.int32)], axis=1).ravel()
-        high = np.concatenate([windows, np.full((n, 1), np.iinfo(np.int32).max, np.int32)], axis=1)
-        high = np.concatenate([high, np.zeros((n, 1), np.int32)], axis=1).ravel()
-        return self.insertion(low, np.arange(n) * (k + 1)), self.insertion(high, np.arange(n) * (k + 2))
-
-    def longest(self, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each suffix of an item the length of its longest match and a place of it."""
-        flat = np.concatenate([item, [0]]).astype(np.int32)
-        at = np.arange(len(item))
-        where = self.insertion(flat, at)
-        best, place = np.zeros(len(item), np.int64), np.full(len(item), -1, np.int64)
+    def ranges(self, queries: np.ndarray, at: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past-last suffix that begins with the first ``most`` words of each query."""
+        return self.insertion(queries, at, most), self.insertion(queries, at, most, above=True)
+
+    def longest(self, queries: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query the length of its longest match and a place of it."""
+        where = self.insertion(queries, at)
+        best, place = np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64)
         for side in (where - 1, where):
             ok = (side >= 0) & (side < len(self.order))
-            _, shared = self.compare(flat, at[ok], self.order[side[ok]])
+            _, shared = self.compare(queries, at[ok], self.order[side[ok]])
             better = shared > best[ok]
             rows = np.flatnonzero(ok)[better]
             best[rows], place[rows] = shared[better], self.origin[self.order[side[ok]][better]]
@@ -170,62 +182,86 @@ class Suffixes:
 # -- documents -----------------------------------------------------------------------
 
 
-def sequence_of(texts: list[str | None], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Word ids of all texts, a 0 after each text, and the texts' first places."""
-    get, parts, starts, at = vocabulary.get, [], [], 0
+def sequence_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
+    """Word numbers of all texts, a 0 after each text, the texts' first places, and the words' numbers."""
+    numbers: dict[bytes, int] = defaultdict(count(1).__next__)
+    parts, starts, at = [], [], 0
     for t in texts:
         starts.append(at)
         for ws in words(t):
-            parts.append(np.fromiter([get(w, 0) for w in ws], np.int32, len(ws)))
+            parts.append(np.fromiter(map(numbers.__getitem__, ws), np.int32, len(ws)))
             at += len(ws)
         parts.append(np.zeros(1, np.int32))
         at += 1
-    return np.concatenate(parts), np.asarray(starts)
-
-
-def search_shard(texts: list[str | None], files: list[str], window: int, cache: dict[str, Block]) -> tuple[list[int], list[int], list[set[str]]]:
-    """n_words, n_hit and items of each text."""
-    hits, items, starts = None, [set() for _ in texts], None
-    for file in files:
-        if file not in cache:
-            cache.clear()
-            cache[file] = Block(file, window)
-        block = cache[file]
-        sequence, starts = sequence_of(texts, block.vocabulary)
-        if hits is None:
-            hits = np.zeros(len(sequence) + 1, np.int32)
-        found = Suffixes(sequence, block.shortest, window)
-        for windows, holders in block.windows:
-            k = windows.shape[1]
-            lo, hi = found.ranges(windows)
-            for u in np.flatnonzero(hi > lo):
-                places = found.origin[found.order[lo[u] : hi[u]]]
-                np.add.at(hits, places, 1)
-                np.add.at(hits, places + k, -1)
-                for d in np.unique(np.searchsorted(starts, places, side="right") - 1).tolist():
-                    items[d] |= holders[u]
-    if starts is None:
-        sequence, starts = sequence_of(texts, {})
-        hits = np.zeros(len(sequence) + 1, np.int32)
-    ends = np.concatenate([starts[1:], [len(hits) - 1]])
+    return np.concatenate(parts), np.asarray(starts), numbers
+
+
+def search_shard(texts: list[str | None], blocks: list[tuple[str, int, int]], window: int, cache: dict[str, Block]) -> list[tuple]:
+    """n_words, n_hit, items and matches of each text."""
+    sequence, starts, numbers = sequence_of(texts)
+    hits = np.zeros(len(sequence) + 1, np.int32)
+    items: list[set[str]] = [set() for _ in texts]
+    matches: list[list[tuple]] = [[] for _ in texts]
+    known = np.zeros(len(numbers) + 1, bool)
+    for file, *_ in blocks:
+        for w in cache[file].vocabulary if file in cache else read_file(f"{file}.words").split(b"\n"):
+            known[numbers.get(w, 0)] = True
+    known[0] = False
+    if known.any():
+        least, most = min(b[1] for b in blocks), max(b[2] for b in blocks)
+        found = Suffixes(np.where(known[sequence], sequence, 0), min(least, window), most)
+        for file, *_ in blocks:
+            if file not in cache:
+                cache.clear()
+                cache[file] = Block(file, window)
+            search_block(found, cache[file], numbers, starts, hits, items, matches)
+    ends = np.concatenate([starts[1:], [len(sequence)]])
     hit = np.concatenate([[0], np.cumsum(np.cumsum(hits[:-1]) > 0)])
-    n_words = (ends - starts - 1).tolist()
-    return n_words, (hit[ends] - hit[starts]).tolist(), items
+    n_words, n_hit = (ends - starts - 1).tolist(), (hit[ends] - hit[starts]).tolist()
+    return [(n, h, sorted(i), m) for n, h, i, m in zip(n_words, n_hit, items, matches, strict=True)]
+
+
+def search_block(found: Suffixes, block: Block, numbers: dict[bytes, int], starts: np.ndarray, hits: np.ndarray, items: list[set[str]], matches: list[list[tuple]]) -> None:
+    """Search the block's suffixes and note what they match."""
+    own = np.fromiter((numbers.get(w, 0) for w in [b"", *block.vocabulary]), np.int32, len(block.vocabulary) + 1)
+    flat = own[block.flat]
+    # A suffix whose window has a word that the shard lacks matches nowhere.
+    gaps = np.flatnonzero(flat == 0)
+    able = np.flatnonzero(gaps[np.searchsorted(gaps, block.at)] - block.at >= block.least)
+    length, place = found.longest(flat, block.at[able])
+    matched = length >= block.least[able]
+    able, length, place = able[matched], length[matched], place[matched]
+    docs = np.searchsorted(starts, place, side="right") - 1
+    for i, n, p, d in zip(able.tolist(), length.tolist(), place.tolist(), docs.tolist(), strict=True):
+        matches[d].append((block.ids[block.item[i]], int(block.item_at[i]), n, p - int(starts[d])))
+    windows, first = np.unique(block.window[able], return_index=True)
+    at, size = block.at[able[first]], block.least[able[first]]
+    lo, hi = found.ranges(flat, at, size)
+    for w, a, b, k in zip(windows.tolist(), lo.tolist(), hi.tolist(), size.tolist(), strict=True):
+        places = found.origin[found.order[a:b]]
+        np.add.at(hits, places, 1)
+        np.add.at(hits, places + k, -1)
+        for d in np.unique(np.searchsorted(starts, places, side="right") - 1).tolist():
+            items[d] |= block.holders[w]
 
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, path: str | None = None, text: str = "text",
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
-    """Columns of ``docs`` and ``leak``: n_words, n_hit, items (sorted as strings)."""
-    files = write_blocks(benchmark, path or shared_dir(docs.sparkSession, "decontamination"), item_id, item_text)
+    """Columns of ``docs`` and ``leak``: n_words, n_hit, items (sorted as strings) and matches.
+
+    A match is an item suffix (item, item_at), the length of its longest match in the document's
+    shard and where that begins in the document, in words. Each suffix gives at most one match a
+    shard, so another document with the same passage may have hits and no match."""
+    blocks = write_blocks(benchmark, path or shared_dir(docs.sparkSession, "decontamination"), item_id, item_text)
     cache: dict[str, Block] = {}
 
     def compute(texts: list[str | None]) -> list[tuple]:
-        n_words, n_hit, items = search_shard(texts, files, window, cache)
-        return list(zip(n_words, n_hit, map(sorted, items), strict=True))
+        return search_shard(texts, blocks, window, cache)
 
-    return with_struct(docs, text, "leak", "n_words: bigint, n_hit: bigint, items: array<string>", compute, SHARD_BYTES)
+    fields = "n_words: bigint, n_hit: bigint, items: array<string>, matches: array<struct<item: string, item_at: bigint, length: bigint, at: bigint>>"
+    return with_struct(docs, text, "leak", fields, compute, SHARD_BYTES)
 
 
 def longest_matches(
@@ -233,36 +269,12 @@ def longest_matches(
     item_id: str = "item_id", item_text: str = "text", least: int = WINDOW,
 ) -> DataFrame:
     """item, item_at, length, doc, doc_at: for every item suffix its longest match of at
-    least ``least`` words over all documents, and the first place of that length by document."""
-    files = write_blocks(benchmark, path or shared_dir(docs.sparkSession, "decontamination"), item_id, item_text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, Block] = {}
-        for batch in batches:
-            for a, b in row_ranges(batch.column("text"), SHARD_BYTES):
-                texts, ids = batch.column("text").slice(a, b - a).to_pylist(), batch.column("id").slice(a, b - a).to_pylist()
-                rows: list[tuple] = []
-                for file in files:
-                    if file not in cache:
-                        cache.clear()
-                        cache[file] = Block(file, least)
-                    block = cache[file]
-                    sequence, starts = sequence_of(texts, block.vocabulary)
-                    found = Suffixes(sequence, least, block.longest)
-                    for name, item in zip(block.ids, block.items, strict=True):
-                        best, place = found.longest(item)
-                        for i in np.flatnonzero(best >= least).tolist():
-                            d = int(np.searchsorted(starts, place[i], side="right")) - 1
-                            rows.append((name, i, int(best[i]), ids[d], int(place[i] - starts[d])))
-                types = (pa.string(), pa.int64(), pa.int64(), batch.schema.field("id").type, pa.int64())
-                columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["item", "item_at", "length", "doc", "doc_at"])
-
-    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    id_type = narrow.schema["id"].dataType.simpleString()
-    per_shard = narrow.mapInArrow(run, f"item string, item_at long, length long, doc {id_type}, doc_at long")
-    longest = per_shard.groupBy("item", "item_at").agg(F.min(F.struct((-F.col("length")).alias("n"), "doc", "doc_at")).alias("m"))
-    return longest.select("item", "item_at", (-F.col("m.n")).alias("length"), "m.doc", "m.doc_at")
+    least ``least`` words over all documents, and a place of that length."""
+    narrow = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    per_shard = find_leaks(narrow, benchmark, path, "text", item_id, item_text, least).select("doc", F.inline("leak.matches"))
+    longest = per_shard.filter(F.col("length") >= least).groupBy("item", "item_at")
+    longest = longest.agg(F.min(F.struct((-F.col("length")).alias("n"), "doc", "at")).alias("m"))
+    return longest.select("item", "item_at", (-F.col("m.n")).alias("length"), "m.doc", F.col("m.at").alias("doc_at"))
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

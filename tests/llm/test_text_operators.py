@@ -63,6 +63,53 @@ def test_longest_matches(spark):
     assert got[1] == ("7", 1, 40, 1, 1) and got[10] == ("7", 10, 31, 1, 10) and max(got) == 31
 
 
+@pytest.mark.parametrize(("block_words", "shard_bytes"), [(200_000, 16 << 20), (30, 300)])
+def test_matches_are_the_longest(spark, monkeypatch, block_words, shard_bytes):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", shard_bytes)
+    rnd = random.Random(5)
+    docs = {i: [rnd.choice("abc") for _ in range(rnd.randrange(0, 80))] for i in range(40)}
+    items = {i: [rnd.choice("abcd") for _ in range(n)] for i, n in enumerate((30, 14, 5, 6, 1, 45))}
+    items[6] = docs[3][2:40]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r[0], r[1]): r[2:] for r in rows(decontamination.longest_matches(d, b, least=4), "item", "item_at", "length", "doc", "doc_at")}
+    want = {}
+    for i, w in items.items():
+        for a in range(len(w)):
+            shared = max((n for x in docs.values() for p in range(len(x)) for n in range(len(w) - a + 1) if x[p : p + n] == w[a : a + n]), default=0)
+            if shared >= 4:
+                want[str(i), a] = shared
+    assert {k: v[0] for k, v in got.items()} == want and want
+    for (i, a), (n, doc, at) in got.items():
+        assert docs[doc][at : at + n] == items[int(i)][a : a + n]
+
+
+def test_leaks_among_many_other_words(spark):
+    rnd = random.Random(8)
+    passage = lambda: [rnd.choice("abcd") for _ in range(12)]
+    items = [(i, " ".join(passage())) for i in range(30)]
+    docs = []
+    for i in range(60):
+        other = [f"w{rnd.randrange(100_000)}" for _ in range(300)]
+        inside = items[i % 30][1].split() if i % 4 == 0 else passage()
+        docs.append((i, " ".join(other[:150] + inside + other[150:])))
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {r[0]: tuple(r[1:]) for r in rows(decontamination.find_leaks(d, b), "doc_id", "leak.n_words", "leak.n_hit", "leak.items")}
+    assert got == leaks(docs, items) and sum(n > 0 for _, n, _ in got.values()) == 15
+
+
+def test_one_array_serves_all_blocks(spark, monkeypatch):
+    blocks = decontamination.write_blocks(read(spark, "benchmark"), decontamination.shared_dir(spark, "blocks"), "item_id", "text")
+    text = " ".join(r[0] or "" for r in rows(read(spark, "benchmark").limit(5), "text"))
+    built = []
+    array = decontamination.Suffixes
+    monkeypatch.setattr(decontamination, "Suffixes", lambda *a: built.append(a) or array(*a))
+    many = decontamination.search_shard([text], blocks * 3, 10, {})
+    assert len(built) == 1 and many[0][1] > 0
+
+
 # -- Jaccard join
 
 
