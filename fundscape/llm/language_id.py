@@ -35,6 +35,7 @@ SAMPLE, LEAST = 20_000, 200  # labelled rows, about, that the classifiers are fi
 MOST = 200  # languages that are told apart
 AMBIGUOUS = 0.02
 FULL_CODE = 5  # up to so many languages get all distinct columns
+SLICE = 1 << 19  # bytes of texts weighed at a time; of a longer text, places
 
 
 def codewords(n: int) -> np.ndarray:
@@ -108,7 +109,10 @@ class Model:
     def margins(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Uncalibrated margins per text and bit, and letters per text."""
         found, starts, n_letters = grams(texts)
-        total = sum(np.add.reduceat(self.weights[g], starts, axis=0) for g in found)
+        if len(texts) > 1 or len(found[0]) <= SLICE:
+            total = sum(np.add.reduceat(self.weights[g], starts, axis=0) for g in found)
+        else:  # one long text, cut from its start, so that equal texts get equal sums
+            total = sum(self.weights[g[a : a + SLICE]].sum(0, dtype=float) for g in found for a in range(0, len(g), SLICE))[None]
         return total.astype(float) / np.sqrt(np.maximum(n_letters, 1))[:, None], n_letters
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
@@ -159,7 +163,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for a, b in row_ranges(batch.column("text"), 4 << 20):
+            for a, b in row_ranges(batch.column("text"), SLICE):
                 part = batch.slice(a, b - a)
                 by: dict[str, list[str]] = {}
                 for t, label in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
@@ -196,7 +200,7 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in row_ranges(batch.column("text"), 4 << 20):
+            for a, b in row_ranges(batch.column("text"), SLICE):
                 part = batch.slice(a, b - a)
                 raw, _ = model.margins(part.column("text").to_pylist())
                 yield pa.record_batch([part.column("lang"), pa.array(raw.tolist())], names=["lang", "margins"])
@@ -226,4 +230,4 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Columns of ``docs`` and a struct ``language``: lang, score, ambiguous."""
-    return with_struct(docs, text, "language", "lang: string, score: double, ambiguous: boolean", model.predict)
+    return with_struct(docs, text, "language", "lang: string, score: double, ambiguous: boolean", model.predict, SLICE)

@@ -110,6 +110,16 @@ def test_one_array_serves_all_blocks(spark, monkeypatch):
     assert len(built) == 1 and many[0][1] > 0
 
 
+def test_long_texts_are_weighed_in_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = language_id.Model(["a", "b", "c"], language_id.codewords(3), rng.normal(size=(1 << language_id.BUCKET_BITS, 3)).astype(np.float32), np.ones((2, 3)), np.ones(3))
+    text = "one or more words " * 50
+    whole, n = model.margins([text])
+    monkeypatch.setattr(language_id, "SLICE", 64)
+    cut, m = model.margins([text])
+    assert n == m and np.allclose(whole, cut, atol=1e-3)
+
+
 # -- Jaccard join
 
 
