@@ -80,6 +80,37 @@ def test_hot_phrases_do_not_change_results(spark, monkeypatch):
     assert every[0] == every[1] == every[2]
 
 
+def test_candidates_of_repeated_and_missing_keys(spark):
+    rows = [(1, "wind wind sea"), (1, "sea wind"), (None, "deep sea"), (2, None)]
+    df = spark.createDataFrame(rows, "projectID long, objective string")
+    got = {(r["projectID"], r["phrase"]): r["tf"] for r in keyphrases.candidate_phrases(df, stop_words=STOP).collect()}
+    one = {"wind": 3, "sea": 2, "wind wind": 1, "wind sea": 1, "wind wind sea": 1, "sea wind": 1}
+    assert got == {(1, p): n for p, n in one.items()} | {(None, "deep"): 1, (None, "sea"): 1, (None, "deep sea"): 1}
+
+
+def test_counting_holds_no_phrases_of_several_texts(spark):
+    text = keyphrases.candidate_phrases(texts(spark), stop_words=STOP)._jdf.queryExecution().toString()
+    assert "phrase" not in "".join(x for x in text.splitlines() if "Aggregate" in x or "Exchange" in x)
+
+
+def test_text_relevance_is_that_of_the_candidates(spark, monkeypatch):
+    words = [f"w{i * i % 7} w{i % 3} wé w{i % 5}" for i in range(40)]
+    rows = [(i if i else None, " ".join(words[i : i + 1 + i % 9])) for i in range(40)] + [(90, ""), (91, "lone"), (92, "a of")]
+    df = keyphrases.one_text_per_key(spark.createDataFrame(rows, "projectID long, objective string"))
+    for share in (0.0, 0.3, 1.0):
+        monkeypatch.setattr(keyphrases, "HOT_SHARE", share)
+        for n in ((1, 3), (1, 1), (2, 2), (2, 4)):
+            cands = keyphrases.candidate_phrases(df, n=n, stop_words=STOP)
+            want = keyphrases.phrase_relevance(cands, df).select("projectID", "phrase", "tf", "df", "score")
+            got = keyphrases.text_relevance(df, n=n, stop_words=STOP).select(*want.columns)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    best = keyphrases.text_relevance(df, stop_words=STOP, best=4)
+    assert best.count() < keyphrases.text_relevance(df, stop_words=STOP).count()
+    every = keyphrases.phrase_relevance(keyphrases.candidate_phrases(df, stop_words=STOP), df)
+    tops = [sorted(map(str, keyphrases.phrase_topk(x, 4).select("projectID", "phrase", "tf", "df", "score", "rank").collect())) for x in (best, every)]
+    assert tops[0] == tops[1]
+
+
 def test_extraction_against_brute_force(spark):
     for k, n, stems in ((20, 5, ["carbon", "wind"]), (7, 3, ["sea", "deep"]), (4, 5, ["storage", "w"])):
         got = keyphrases.extract_keyphrases(texts(spark), stop_words=STOP, stems=stems, top_n=n, candidates=k)
