@@ -1,6 +1,7 @@
 from itertools import combinations
 from math import log
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fundscape.operators import clusters, keyphrases, serving
@@ -111,6 +112,26 @@ def test_text_relevance_is_that_of_the_candidates(spark, monkeypatch):
     assert tops[0] == tops[1]
 
 
+def test_text_relevance_meets_by_ranges_of_names_not_by_place(spark, monkeypatch):
+    monkeypatch.setattr(keyphrases, "SLICE", 7)
+    monkeypatch.setattr(keyphrases, "RANGE", 5)
+    rows = [(i if i else None, " ".join(f"w{(i * j) % 11}" for j in range(i % 8))) for i in range(30)] + [(40, ""), (41, None)]
+    df = spark.createDataFrame(rows, "projectID long, objective string")
+    want = keyphrases.phrase_relevance(keyphrases.candidate_phrases(df, stop_words=STOP), df)
+    got = keyphrases.text_relevance(df, stop_words=STOP).select("projectID", "phrase", "tf", "df", "score")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    plan = got._jdf.queryExecution().toString()
+    assert "Window" not in plan and "_range" in plan  # one row a slice and range of names, not one a place
+    assert keyphrases.text_relevance(df.limit(0), stop_words=STOP, best=3).count() == 0
+
+
+def test_phrases_of_one_name_in_part_are_told_apart():
+    names, more = np.array([7, 5, 7, 7, 5], np.uint64), np.array([1, 2, 0, 1, 2], np.uint32)
+    order, of, starts = keyphrases._alike(names, more)
+    assert [(names[i], more[i]) for i in order] == [(5, 2), (5, 2), (7, 0), (7, 1), (7, 1)]
+    assert of.tolist() == [0, 0, 1, 2, 2] and starts.tolist() == [0, 2, 3]
+
+
 def test_extraction_against_brute_force(spark):
     for k, n, stems in ((20, 5, ["carbon", "wind"]), (7, 3, ["sea", "deep"]), (4, 5, ["storage", "w"])):
         got = keyphrases.extract_keyphrases(texts(spark), stop_words=STOP, stems=stems, top_n=n, candidates=k)
