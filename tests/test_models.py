@@ -249,6 +249,32 @@ def test_stored_clusters_assign_as_the_fit_would(spark):
     assert nearer < sum(r["distance"] for r in clusters.assign_clusters(found, *shuffled).collect())
 
 
+def test_slices_of_texts_meet_words_once_and_keep_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "SLICE", 9)
+    rnd = random.Random(3)
+    rows = [(i // 2 if i % 7 else None, [rnd.choice("abcdefgh") + "x" * (i % 3) for _ in range(i % 6)] + [None] * (i % 2), rnd.choice("PQR")) for i in range(40)]
+    found = spark.createDataFrame([*rows, (50, None, "P"), (50, None, None)], "projectID long, words array<string>, cluster string")
+    idf, centres = clusters.stored_model(found)
+    n, df, tf, size = found.count(), Counter(), Counter(), Counter(r["cluster"] for r in found.collect())
+    for k, c in {(k, c) for k, _, c in rows}:
+        df.update({w for a, words, b in rows if (a, b) == (k, c) for w in words if w})
+    for _, words, c in rows:
+        tf.update((c, w) for w in words if w)
+    w = {word: round(1000 * math.log((n + 1) / (d + 1))) for word, d in df.items()}
+    assert {r["word"]: r["idf"] for r in idf.collect() if r["word"]} == w
+    centre = {(r["cluster"], r["word"]): r["weight"] for r in centres.collect()}
+    assert centre == {(c, word): math.floor(t * w[word] / size[c] + 0.5) for (c, word), t in tf.items()}
+    got = sorted(map(str, (tuple(r) for r in clusters.assign_clusters(found, idf, centres).collect())))
+    want = []
+    for k, _, _ in [*rows, (50, None, None), (50, None, None)]:
+        x = Counter(word for a, words, _ in rows if a == k is not None for word in words if word)
+        ways = [(sum((x[t] * w[t] - centre.get((c, t), 0)) ** 2 for t in w), c) for c in "PQR"]
+        want.append(str((k, min(ways)[1], min(ways)[0] / 1e6)))
+    assert got == sorted(want)
+    asked = clusters.assign_clusters(found, idf, centres)._jdf.queryExecution().toString()
+    assert "posexplode" in asked and "FlatMapCoGroupsInArrow" in asked
+
+
 def test_texts_without_known_words(spark):
     found = spark.createDataFrame([(1, ["a", "b"], 0), (2, ["c"], 1)], "projectID long, words array<string>, cluster int")
     idf, centres = clusters.stored_model(found)
