@@ -37,6 +37,7 @@ from fundscape.sources import (
     with_position,
     write_artifact,
     write_bucketed,
+    write_single_file,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -653,7 +654,7 @@ def json_single_document(spark, sf):
     first = docs.agg(F.min("doc_id")).scalar()
     items = docs.select(F.col("doc_id").alias("at"), F.concat(F.when(F.col("doc_id") == first, "[").otherwise(", "), record).alias("value"))
     end = docs.agg((F.max("doc_id") + 1).alias("at")).select("at", F.lit("]").alias("value"))
-    items.union(end).orderBy("at").select("value").coalesce(1).write.text(path)
+    write_single_file(items.union(end).orderBy("at").select("value"), path, "text")
     read = read_json_shape(spark, path, "records", {"doc_id": "long", "text": "string", "of": "struct<source: string>"}, lines=False)
     return read.select("doc_id", "text", "of.source")
 

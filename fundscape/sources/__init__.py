@@ -7,6 +7,7 @@ from fundscape.sources.json_shapes import (
     rows_from_json_map,
 )
 from fundscape.sources.lookups import iso_codes, parameter_table, small_table, value_list
+from fundscape.sources.single_file import write_single_file
 from fundscape.sources.tables import (
     mark_missing,
     read_stage,
@@ -31,4 +32,5 @@ __all__ = [
     "with_position",
     "write_artifact",
     "write_bucketed",
+    "write_single_file",
 ]
