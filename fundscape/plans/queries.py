@@ -641,7 +641,7 @@ def csv_single_file(spark, sf):
     """Texts with line breaks and quotes through one CSV file."""
     path = scratch_path(spark, "csv-file")
     docs = views.texts(spark, sf).withColumn("text", F.concat(F.lit('He said "a,b"\n\n'), "text"))
-    write_artifact(docs.coalesce(1), path, "csv")
+    write_single_file(docs, path, "csv")
     return read_table(spark, path, docs.schema, "csv", multiline=True)
 
 

@@ -43,7 +43,7 @@ def test_empty_tables_and_used_folders(spark, tmp_path):
         write_single_file(none, f"{tmp_path}/parquet", "parquet")
 
 
-@pytest.mark.parametrize("name, kept", [("json_single_document", "json-list")])
+@pytest.mark.parametrize("name, kept", [("csv_single_file", "csv-file"), ("json_single_document", "json-list")])
 def test_no_task_writes_the_whole_table(spark, tmp_path, name, kept):
     docs = [(i, f"text {i}, \"it\" says [{{\n" + "word " * (i % 90), None if i % 5 == 0 else f"s{i % 3}") for i in range(400)]
     table = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(8)
