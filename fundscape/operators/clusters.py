@@ -36,22 +36,24 @@ def text_clusters(
     ``(key, words, cluster)``. Fewer than ``min_texts`` texts give no rows.
 
     Words share one of ``n_features`` hash buckets when there are more words than that, and
-    then weigh as one word. Words are made once and stored. Vectors are held, on memory and disk,
-    while the fit runs and released after it."""
+    then weigh as one word. Words are made once and stored. Vectors are held on the executors' disks, not in their
+    memory, while the fit reads them round by round, and released after it."""
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
     words = stored(df.filter(F.col(text).isNotNull()).select(key, tokens(F.col(text), stop_words).alias("words")), "words")
+    n = words.count()
+    if n < min_texts:
+        return words.withColumn("cluster", F.lit(0)).limit(0)
     hashed = HashingTF(inputCol="words", outputCol="counts", numFeatures=n_features)
-    counts = hashed.transform(words).select("counts").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = hashed.transform(words).select("counts")
+    idf = IDF(inputCol="counts", outputCol="features").fit(counts)
+    # The fit holds vectors that nobody else holds in memory, as objects.
+    vectors = idf.transform(counts).select("features").persist(StorageLevel.DISK_ONLY)
     try:
-        n = counts.count()
-        if n < min_texts:
-            return words.withColumn("cluster", F.lit(0)).limit(0)
-        idf = IDF(inputCol="counts", outputCol="features").fit(counts)
-        groups = KMeans(k=min(8, max(2, n // 25)), seed=seed, maxIter=20, predictionCol="cluster")
-        model = groups.fit(idf.transform(counts))
+        groups = KMeans(k=min(8, max(2, n // 25)), seed=seed, maxIter=20, predictionCol="cluster", solver="row")
+        model = groups.fit(vectors)
     finally:
-        counts.unpersist()
+        vectors.unpersist()
     return model.transform(idf.transform(hashed.transform(words))).select(key, "words", "cluster")
 
 

@@ -170,3 +170,16 @@ def test_clusters(spark):
     top = clusters.cluster_top_words(found, 2)
     assert top.columns == ["topic", "word", "rank"] and top.filter("rank > 2").count() == 0
     assert clusters.text_clusters(df.limit(4), stop_words=STOP).count() == 0
+
+
+def test_cluster_fit_holds_its_vectors_on_disk_only(spark, monkeypatch):
+    held, fit = [], clusters.KMeans.fit
+
+    def watched(self, vectors):
+        held.append(vectors.storageLevel)
+        return fit(self, vectors)
+
+    monkeypatch.setattr(clusters.KMeans, "fit", watched)
+    df = spark.range(30).select(F.col("id").alias("projectID"), F.concat_ws(" ", F.lit("wind sea"), F.col("id") % 3).alias("objective"))
+    assert clusters.text_clusters(df, stop_words=STOP).count() == 30
+    assert [(level.useDisk, level.useMemory) for level in held] == [(True, False)]
