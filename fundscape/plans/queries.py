@@ -749,7 +749,7 @@ def raw_text_features(spark, sf):
     )
     gdp = as_csv(balances, schemas.GDP, "gdp")
     codes = views.table(spark, sf, "nation").select(F.col("n_name").alias("iso3"), F.col("n_name").alias("iso2"))
-    flagged = participation.parse_money(stored(merged, "merged"))
+    flagged = participation.parse_money(merged)  # read once, by one aggregation of a few of its columns
     ready = features.preprocess_gdp(gdp, codes)
     table = analysis.country_features(flagged, ready, views.members(spark, sf), lambda df: stored(df, "base"))
     return rounded(table)

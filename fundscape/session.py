@@ -52,9 +52,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/fundscape-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write a table that several outputs read to the scratch folder and read it again.
-    Nothing stays in executor memory, and no later job depends on this one's executors."""
+    Nothing stays in executor memory, and no later job depends on this one's executors. ``codec`` is
+    the Parquet compression, the session's by default."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.option("compression", codec) if codec else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

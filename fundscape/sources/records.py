@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,8 +152,11 @@ def _glued(effects: Effects, separator: str) -> Callable:
     return run
 
 
-def cut_records(spark: SparkSession, path: str, separator: str, effects: Effects, most_ranges: int = MOST_RANGES) -> DataFrame:
-    """file, first (the file's first record), last (closes its document), record."""
+def cut_records(
+    spark: SparkSession, path: str, separator: str, effects: Effects, most_ranges: int = MOST_RANGES, made: Column | None = None
+) -> DataFrame:
+    """file, first (the file's first record), last (closes its document), record. With ``made``, an expression of
+    ``record``, its value ``made`` takes the record's place: only that is stored, and it is found once."""
     text = spark.read.text(path, lineSep=separator)
     pieces = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
     sums = pieces.mapInArrow(_summed(effects), "file string, block long, turned long, outside long, inside long")
@@ -170,9 +173,13 @@ def cut_records(spark: SparkSession, path: str, separator: str, effects: Effects
         placed = placed.repartition("file", "block").sortWithinPartitions("file", "block", "_at")
     placed = placed.select("file", "block", "value", F.col("state").cast("long"), F.col("depth").cast("long"))
     cut = placed.mapInArrow(_glued(effects, separator), "file string, block long, n long, kind int, last boolean, record string")
-    cut = stored(cut, "records")
+    if made is not None:
+        is_whole = F.col("kind") == WHOLE
+        cut = cut.select("file", "block", "n", "kind", "last", F.when(~is_whole, F.col("record")).alias("record"), F.when(is_whole, made).alias("made"))
+    cut = stored(cut, "records", "zstd")
 
-    whole = cut.filter(F.col("kind") == WHOLE).select("file", ((F.col("block") == 0) & (F.col("n") == 0)).alias("first"), "last", "record")
+    found = "record" if made is None else "made"
+    whole = cut.filter(F.col("kind") == WHOLE).select("file", ((F.col("block") == 0) & (F.col("n") == 0)).alias("first"), "last", found)
     upto = W.partitionBy("file").orderBy("block", "n").rowsBetween(W.unboundedPreceding, 0)
     parts = cut.filter(F.col("kind") != WHOLE).withColumn("begin", F.max(F.when(F.col("kind") == TAIL, F.col("block"))).over(upto))
     listed = F.sort_array(F.collect_list(F.struct("block", "n", "record")))
@@ -180,18 +187,20 @@ def cut_records(spark: SparkSession, path: str, separator: str, effects: Effects
         F.array_join(F.transform(listed, lambda p: p["record"]), separator).alias("record"), F.max("last").alias("last"),
         F.max((F.col("kind") == TAIL) & (F.col("block") == 0) & (F.col("n") == 0)).alias("first"),
     )
-    return whole.unionByName(glued.select("file", "first", "last", "record"))
+    if made is not None:
+        glued = glued.withColumn("made", made)
+    return whole.unionByName(glued.select("file", "first", "last", found))
 
 
 def read_csv_records(spark: SparkSession, path: str, schema: T.StructType, options: dict[str, str], most_ranges: int = MOST_RANGES) -> DataFrame:
     """A CSV table whose quoted fields may hold line breaks, large files read by many tasks. Each
     file starts with a header. Quotes stand only around fields and, doubled, inside quoted ones."""
-    records = cut_records(spark, path, "\n", csv_effects, most_ranges).filter("NOT first")
     line = F.regexp_replace("record", "\r$", "")
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = records.select(line.alias("record")).filter("record <> ''")
-    parsed = parsed.select(F.from_csv("record", fields, {**options, "header": "false", "multiLine": "true"}).alias("_row"))
-    return parsed.select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
+    parsed = F.from_csv(line, fields, {**options, "header": "false", "multiLine": "true"})
+    made = F.struct((line != "").alias("kept"), parsed.alias("row"))
+    rows = cut_records(spark, path, "\n", csv_effects, most_ranges, made).filter("NOT first AND made.kept").select("made.row")
+    return rows.select(*[F.col("row").getField(f.name).alias(f.name) for f in schema.fields])
 
 
 def read_json_elements(spark: SparkSession, path: str, most_ranges: int = MOST_RANGES) -> DataFrame:

@@ -7,7 +7,8 @@ import random
 
 import pytest
 
-from fundscape.sources import read_json_shape, read_table
+from fundscape.plans import queries
+from fundscape.sources import read_json_shape, read_table, records
 from fundscape.sources.records import cut_records, csv_effects, read_csv_records
 from fundscape.sources.tables import CSV_OPTIONS
 
@@ -118,3 +119,23 @@ def test_large_list_is_read_by_several_tasks(spark, tmp_path, small_ranges):
     assert spark.read.text(path, lineSep=",").rdd.getNumPartitions() > 3
     df = read_json_shape(spark, path, "records", {"feature": "string", "importance": "double"}, lines=False)
     assert df.count() == n and df.agg({"importance": "sum"}).first()[0] == n * (n - 1) / 4
+
+
+def test_csv_rows_are_parsed_once_and_stored_without_their_text(spark, tmp_path, small_ranges, monkeypatch):
+    rows = [(i, f"word {i}\nand more", "x") for i in range(40)]
+    write_csv(tmp_path / "t.csv", rows)
+    small_ranges(200)
+    kept, store = {}, records.stored
+    monkeypatch.setattr(records, "stored", lambda df, name, *more: kept.setdefault(name, store(df, name, *more)))
+    got = read_table(spark, str(tmp_path / "t.csv"), _schema(), "csv", multiline=True)
+    assert sorted(map(tuple, got.collect())) == rows
+    whole = kept["records"].filter(f"kind = {records.WHOLE}")
+    assert whole.count() > 0 and whole.filter("record IS NOT NULL").count() == 0
+
+
+def test_raw_texts_are_read_for_the_projects_filter_only(spark, monkeypatch):
+    """No text goes on into what is stored after the merge."""
+    kept, store = [], queries.stored
+    monkeypatch.setattr(queries, "stored", lambda df, name, *more: (kept.append(df.columns), store(df, name, *more))[1])
+    assert queries.QUERIES["raw_text_features"](spark, "/root/testdata/sf0.001").count() > 0
+    assert kept and not any("objective" in columns for columns in kept)
