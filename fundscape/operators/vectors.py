@@ -5,69 +5,30 @@ adds up its words; a word's vector adds up the words around it in all texts. A p
 that of its words one after the other and is compared with the text's, as often repeated, by cosine. So dot products are needed
 per text and distinct word only, and a phrase adds those of its words.
 
-All sums are of whole numbers. Word vectors are a stored table of one row per word, joined by word with
-the texts' vectors; no task holds the vocabulary, and counts are combined before every shuffle."""
+All sums are of whole numbers. Texts are worked on in slices: a slice adds up the company of each of its words and
+sends it to the task of a range of words, which gets the sums of all slices and sends each slice those of its words.
+No task holds the vocabulary."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscape.functions import tokens
 from fundscape.functions.text import TOKEN
+from fundscape.operators.keyphrases import _distinct_runs, _slices, _words
 from fundscape.session import stored
 
 DIMS = 32
 REACH = 2  # words on either side that are a word's company
+SLICE = 500_000  # words that are worked on at once
+RANGE = 200_000  # words of slices that one call adds up, about that many
 
-
-def index_code(word: Column, dims: int = DIMS) -> Column:
-    """The word's dimension, from 1, with its sign."""
-    mark = F.md5(word)
-    place = F.pmod(F.conv(F.substring(mark, 1, 8), 16, 10).cast("long"), F.lit(dims)) + 1
-    return F.when(F.substring(mark, 9, 1) < "8", place).otherwise(-place).cast("int")
-
-
-def _dense(dims: int, kind: str) -> Column:
-    """The summed (dim, value) rows of a group as an array."""
-    entries = F.map_from_entries(F.collect_list(F.struct("dim", "value")))
-    return F.transform(F.sequence(F.lit(1), F.lit(dims)), lambda i: F.coalesce(F.element_at(entries, i), F.lit(0)).cast(kind))
-
-
-def _summed(rows: DataFrame, by: str, code: str, dims: int, kind: str) -> DataFrame:
-    sums = rows.groupBy(by, F.abs(code).alias("dim")).agg(F.sum(F.signum(code).cast("long")).alias("value"))
-    return sums.groupBy(by).agg(_dense(dims, kind).alias("vector"))
-
-
-def _dot(a: str, b: str) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
-
-
-def word_occurrences(
-    texts: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None, pattern: str = TOKEN, dims: int = DIMS
-) -> DataFrame:
-    """key, pos, word, code of every word left after stop words are taken out."""
-    if stop_words is None:
-        stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    words = texts.select(key, F.posexplode(tokens(F.col(text), stop_words, pattern)).alias("pos", "word"))
-    return words.withColumn("code", index_code(F.col("word"), dims))
-
-
-def word_vectors(occurrences: DataFrame, key: str, dims: int = DIMS, reach: int = REACH) -> DataFrame:
-    """word and vector: the summed codes of the words around it. Occurrences of a text should be together."""
-    order = W.partitionBy(key).orderBy("pos")
-    around = [f("code", i).over(order) for i in range(1, reach + 1) for f in (F.lag, F.lead)]
-    near = occurrences.select("word", F.array(*around).alias("_near")).select("word", F.explode("_near").alias("near")).filter("near IS NOT NULL")
-    return _summed(near, "word", "near", dims, "long")
-
-
-def text_vectors(occurrences: DataFrame, key: str, dims: int = DIMS) -> DataFrame:
-    return _summed(occurrences, key, "code", dims, "int")
+# The functions that run in tasks travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def vector_relevance(
@@ -79,34 +40,195 @@ def vector_relevance(
     pattern: str = TOKEN,
     dims: int = DIMS,
     reach: int = REACH,
+    best: int | None = None,
 ) -> DataFrame:
     """Phrases of ``n[0]`` to ``n[1]`` neighbouring words with their relevance to each text:
     ``(key, phrase, tf, score)``, the cosine to six places, 0 for words without company. ``texts``
-    holds one text per key; a NULL text has no phrases."""
-    found = stored(word_occurrences(texts, key, text, stop_words, pattern, dims).repartition(key), "occurrences").repartition(key)
-    words = stored(word_vectors(found, key, dims, reach), "word-vectors")
-    of_text = text_vectors(found, key, dims).withColumnRenamed("vector", "_t")
-    distinct = found.groupBy(key, "word").agg(F.collect_list("pos").alias("places")).join(of_text, key)
-    met = distinct.join(words, "word", "left").select(
-        key, "word", "places", F.coalesce(_dot("_t", "vector"), F.lit(0.0)).alias("dot"),
-        F.coalesce(_dot("vector", "vector"), F.lit(0.0)).alias("norm"), _dot("_t", "_t").alias("own"),
-    )
-    placed = met.select(key, "own", F.explode("places").alias("pos"), "word", "dot", "norm")
-    rows = placed.groupBy(key).agg(F.max("own").alias("own"), F.sort_array(F.collect_list(F.struct("pos", "word", "dot", "norm"))).alias("w"))
-
-    def runs(size: int) -> Column:
-        starts = F.slice("w", 1, F.greatest(F.size("w") - (size - 1), F.lit(0)))
-
-        def run(_, i):
-            at = [F.get("w", i + j) for j in range(size)]
-            return F.struct(
-                F.concat_ws(" ", *[a["word"] for a in at]).alias("phrase"), F.lit(size).alias("size"),
-                sum((a["dot"] for a in at[1:]), at[0]["dot"]).alias("dot"), sum((a["norm"] for a in at[1:]), at[0]["norm"]).alias("norm"),
-            )
-
-        return F.transform(starts, run)
-
-    phrases = rows.select(key, "own", F.inline(F.concat(*[runs(size) for size in range(n[0], n[1] + 1)])))
+    holds one text per key; a NULL text has no phrases, and a NULL key's text is company only. With ``best`` at
+    least the ``best`` first of each text by score and phrase are among the rows, and most others are not."""
+    kind = texts.schema[key].dataType.simpleString()
+    packed = f"_slice long, _keys array<{kind}>, _sizes array<int>, _codes array<int>, _words array<string>"
+    slices = stored(_words(texts, key, text, stop_words, pattern).mapInArrow(_packed, packed), "slices", "zstd")
+    entries = slices.agg(F.coalesce(F.sum(F.size("_words")), F.lit(0))).first()[0]
+    bits = (entries // RANGE).bit_length()
+    blocks = slices.drop("_keys").mapInArrow(_company(dims, reach, bits), "_range long, _slice long, _words array<string>, _sums binary")
+    sums = blocks.groupBy("_range").applyInArrow(_summed(dims), "_slice long, _range long, _sums binary")
+    met = slices.groupBy("_slice").cogroup(sums.groupBy("_slice"))
+    found = met.applyInArrow(_near(key, *n, dims, bits, best), f"`{key}` {kind}, phrase string, tf long, size int, dot double, norm double, own double")
     cosine = F.try_divide(F.col("dot"), F.sqrt("norm") * F.sqrt(F.col("size") * F.col("own")))
-    scored = phrases.withColumn("score", F.round(F.coalesce(cosine, F.lit(0.0)), 6))
-    return scored.groupBy(key, "phrase").agg(F.count("*").alias("tf"), F.max("score").alias("score"))
+    scored = found.withColumn("score", F.round(F.coalesce(cosine, F.lit(0.0)), 6))
+    return scored.filter(F.col(key).isNotNull()).select(key, "phrase", "tf", "score")
+
+
+def _packed(batches):
+    """One row for each slice: its number, the keys, the texts' numbers of words, all words by their places among the
+    distinct ones, and those."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    def one(values):
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    number = TaskContext.get().partitionId() << 32
+    for part, sizes in _slices(batches, SLICE):
+        words = part.column("_w").flatten().dictionary_encode()
+        columns = [part.column(0), pa.array(sizes.astype(np.int32)), words.indices, words.dictionary]
+        yield pa.record_batch([pa.array([number]), *map(one, columns)], names=["_slice", "_keys", "_sizes", "_codes", "_words"])
+        number += 1
+
+
+def _indexed(words, dims: int, bits: int):
+    """The words' dimensions and signs, their order by range and word, and the ranges in that order."""
+    from hashlib import md5
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    marks = np.frombuffer(b"".join(md5(w.encode()).digest() for w in words.to_pylist()), np.uint8).reshape(-1, 16)
+    first, last = (np.ascontiguousarray(marks[:, i : i + 4]).view(">u4")[:, 0].astype(np.int64) for i in (0, 8))
+    ranges = last >> (32 - bits)
+    order = pc.sort_indices(words.cast(pa.binary())).to_numpy().astype(np.int64)
+    order = order[np.argsort(ranges[order], kind="stable")]
+    return first % dims, np.where(marks[:, 4] < 128, 1, -1), order, ranges[order]
+
+
+def _small(sums) -> bytes:
+    """Whole numbers by their bytes, packed: first the lowest byte of all, and so on."""
+    import numpy as np
+    import pyarrow as pa
+
+    flat = np.ascontiguousarray(sums, np.int64).ravel()
+    flat = ((flat << 1) ^ (flat >> 63)).view(np.uint64)  # the sign is the lowest bit
+    wide = max(1, (int(flat.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 8)[:, :wide].T)
+    return bytes([wide]) + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _large(data: bytes, rows: int, dims: int):
+    import numpy as np
+    import pyarrow as pa
+
+    wide, size = data[0], rows * dims
+    planes = np.frombuffer(pa.decompress(data[1:], wide * size, codec="zstd", asbytes=True), np.uint8).reshape(wide, size)
+    flat = np.zeros((size, 8), np.uint8)
+    flat[:, :wide] = planes.T
+    flat = flat.view(np.uint64)[:, 0]
+    return ((flat >> np.uint64(1)).view(np.int64) ^ -(flat & np.uint64(1)).view(np.int64)).reshape(rows, dims)
+
+
+def _cuts(ranges):
+    import numpy as np
+
+    at = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]])
+    return list(zip(at, [*at[1:], len(ranges)], strict=True))
+
+
+def _company(dims: int, reach: int, bits: int):
+    """Rows range, slice, words, sums of slices: the company of the words of a range in the slice's texts."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sizes, codes = (batch.column(c)[i].values.to_numpy().astype(np.int64) for c in ("_sizes", "_codes"))
+                words = batch.column("_words")[i].values
+                place, sign, order, ranges = _indexed(words, dims, bits)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                sums = np.zeros(len(words) * dims, np.int64)
+                for step in range(1, reach + 1):
+                    near = np.flatnonzero(row[step:] == row[:-step])
+                    for word, other in ((codes[near], codes[near + step]), (codes[near + step], codes[near])):
+                        sums += np.bincount(word * dims + place[other], sign[other], len(sums)).astype(np.int64)
+                sums, cuts = sums.reshape(-1, dims), _cuts(ranges)
+                texts = pa.array([words.take(pa.array(order[a:b])) for a, b in cuts], pa.list_(pa.string()))
+                columns = [pa.array([ranges[a] for a, _ in cuts]), pa.array([batch.column("_slice")[i].as_py()] * len(cuts)), texts]
+                columns.append(pa.array([_small(sums[order[a:b]]) for a, b in cuts], pa.binary()))
+                yield pa.record_batch(columns, names=["_range", "_slice", "_words", "_sums"])
+
+    return run
+
+
+def _summed(dims: int):
+    """The sums over all slices of one range of words, for each slice those of its words in their order."""
+
+    def run(blocks):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = blocks.column("_words").combine_chunks()
+        words = pc.list_flatten(lists).dictionary_encode()
+        codes = words.indices.to_numpy().astype(np.int64)
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        parts = [codes[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        sums = np.zeros((len(words.dictionary), dims), np.int64)
+        for part, data in zip(parts, blocks.column("_sums").to_pylist(), strict=True):
+            sums[part] += _large(data, len(part), dims)  # a slice has a word once
+        out = pa.array([_small(sums[part]) for part in parts], pa.binary())
+        return pa.table({"_slice": blocks.column("_slice"), "_range": blocks.column("_range"), "_sums": out})
+
+    return run
+
+
+def _near(key: str, shortest: int, longest: int, dims: int, bits: int, best: int | None):
+    """Rows key, phrase, tf, size, dot, norm, own of a slice and the sums of its words. With ``best`` those that score, as
+    computed here, more than a hair less than the ``best``-th of a text are left out: rounding and ties are left to Spark."""
+
+    def run(slices, sums):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        keys, words = (slices.column(c)[0].values for c in ("_keys", "_words"))
+        sizes, codes = (slices.column(c)[0].values.to_numpy().astype(np.int64) for c in ("_sizes", "_codes"))
+        place, sign, order, ranges = _indexed(words, dims, bits)
+        vectors = np.empty((len(words), dims), np.int64)
+        for (a, b), data in zip(_cuts(ranges), sums.sort_by("_range").column("_sums").to_pylist(), strict=True):
+            vectors[order[a:b]] = _large(data, b - a, dims)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        left = np.cumsum(sizes)[row] - np.arange(len(codes))
+        of_text = np.bincount(row * dims + place[codes], sign[codes], len(sizes) * dims).reshape(-1, dims)
+        pairs, pair = np.unique(row * len(words) + codes, return_inverse=True)
+        texts, kinds = pairs // len(words), pairs % len(words)
+        dots, norms, own = np.zeros(len(pairs)), np.zeros(len(words)), np.zeros(len(sizes))
+        for i in range(dims):
+            v, t = vectors[:, i].astype(float), of_text[:, i]
+            dots, norms, own = dots + t[texts] * v[kinds], norms + v * v, own + t * t
+        dot_at, norm_at = dots[pair], norms[codes]
+        parts = []
+        for size, (at, tf) in enumerate(_distinct_runs(codes, row, left, longest), 1):
+            if size >= shortest:
+                dot, norm = (sum((x[at + i] for i in range(1, size)), x[at]) for x in (dot_at, norm_at))
+                parts.append((row[at], at, tf, np.full(len(at), size), dot, norm))
+        of, at, tf, size, dot, norm = map(np.concatenate, zip(*parts, strict=True))
+        below = np.sqrt(norm) * np.sqrt(size * own[of])
+        score = np.divide(dot, below, out=np.zeros(len(dot)), where=below > 0)
+
+        def phrases(at, size):
+            joined = [words.take(pa.array(codes[np.minimum(at + i, len(codes) - 1)])) for i in range(longest)]
+            joined = [joined[0]] + [pc.if_else(pa.array(size > i), w, None) for i, w in enumerate(joined) if i]
+            return pc.binary_join_element_wise(*joined, " ", null_handling="skip")
+
+        if pc.any(pc.match_substring(words, " ")).as_py():  # other words may then make the same phrase
+            same = phrases(at, size).dictionary_encode().indices.to_numpy().astype(np.int64)
+            down = np.lexsort((-score, same, of))
+            first = np.flatnonzero(np.r_[True, (np.diff(of[down]) != 0) | (np.diff(same[down]) != 0)])
+            tf, down = np.add.reduceat(tf[down], first), down[first]
+            of, at, size, dot, norm, score = (x[down] for x in (of, at, size, dot, norm, score))
+        if best is not None:
+            down = np.lexsort((-score, of))
+            begin = np.flatnonzero(np.r_[True, np.diff(of[down]) != 0])
+            last = begin + best - 1
+            last = last[last < np.r_[begin[1:], len(down)]]
+            least = np.full(len(sizes), -np.inf)
+            least[of[down[last]]] = score[down[last]] - 1e-5
+            kept = np.flatnonzero(score >= least[of])
+            of, at, tf, size, dot, norm = (x[kept] for x in (of, at, tf, size, dot, norm))
+        columns = [keys.take(pa.array(of)), phrases(at, size), *map(pa.array, (tf, size.astype(np.int32), dot, norm, own[of]))]
+        return pa.table(columns, names=[key, "phrase", "tf", "size", "dot", "norm", "own"])
+
+    return run

@@ -142,6 +142,34 @@ def test_vector_relevance_matches_brute_force(spark):
     assert all(r["tf"] == tf[r["doc_id"], r["phrase"]] for r in got if " " not in r["phrase"])
 
 
+def test_vectors_are_added_up_by_slices_and_ranges(spark, monkeypatch):
+    kept, store = {}, vectors.stored
+    monkeypatch.setattr(vectors, "stored", lambda df, name, *more: kept.update({name: store(df, name, *more)}) or kept[name])
+    monkeypatch.setattr(vectors, "SLICE", 50)
+    monkeypatch.setattr(vectors, "RANGE", 4)
+    rnd = random.Random(8)
+    texts = {i: [rnd.choice([f"w{j}" for j in range(30)]) for _ in range(rnd.randrange(1, 25))] for i in range(40)}
+    rows = [(i, " ".join(ws)) for i, ws in texts.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    want = brute_vectors(texts)
+    whole = {(r["doc_id"], r["phrase"]): r for r in vectors.vector_relevance(df, "doc_id", "text", stop_words=[]).collect()}
+    assert set(whole) == set(want) and all(abs(r["score"] - want[k]) < 2e-6 for k, r in whole.items())
+    assert list(kept) == ["slices"] and kept["slices"].count() <= sum(map(len, texts.values())) // 50 + 2  # not a row for each word
+    best = vectors.vector_relevance(df, "doc_id", "text", stop_words=[], best=4)
+    top = lambda found: {(r["doc_id"], r["rank"], r["phrase"], r["tf"], r["score"]) for r in keyphrases.phrase_topk(found, 4, "doc_id").collect()}
+    assert top(best) == top(spark.createDataFrame(list(whole.values()))) and best.count() < len(whole)
+    assert vectors.vector_relevance(df.limit(0), "doc_id", "text", stop_words=[]).count() == 0
+
+
+def test_vectors_of_odd_keys_and_of_words_with_blanks(spark):
+    df = spark.createDataFrame([(None, "sun wind"), ("a", "sun wind;sun;wind sun"), ("b", "sea")], "k string, t string")
+    got = {(r["k"], r["phrase"]): r for r in vectors.vector_relevance(df, "k", "t", stop_words=[], n=(1, 2), pattern="[a-z ]+").collect()}
+    assert set(got) == {("a", x) for x in ("sun wind", "sun", "wind sun", "sun wind sun")} | {("b", "sea")}
+    assert got["a", "sun wind sun"]["tf"] == 2 and got["b", "sea"]["score"] == 0.0
+    plain = vectors.vector_relevance(df, "k", "t", stop_words=[]).collect()
+    assert {r["k"] for r in plain} == {"a", "b"}
+
+
 def test_any_relevance_fits_into_the_extraction(spark):
     df = spark.createDataFrame([(1, "green hydrogen plant with green hydrogen growth"), (2, "solar plant growth")], "projectID long, objective string")
     scored = lambda texts: vectors.vector_relevance(texts, stop_words=["with"])
