@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundscape.functions.text import TOKEN
-from fundscape.operators.keyphrases import _distinct_runs, _slices, _words
+from fundscape.operators.keyphrases import _distinct_runs, _joined, _large, _slices, _small, _words
 from fundscape.session import stored
 
 DIMS = 32
 REACH = 2  # words on either side that are a word's company
 SLICE = 500_000  # words that are worked on at once
-RANGE = 200_000  # words of slices that one call adds up, about that many
+RANGE = 500_000  # words of slices that one call adds up, about that many
 
 # The functions that run in tasks travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,28 +94,18 @@ def _indexed(words, dims: int, bits: int):
     return first % dims, np.where(marks[:, 4] < 128, 1, -1), order, ranges[order]
 
 
-def _small(sums) -> bytes:
-    """Whole numbers by their bytes, packed: first the lowest byte of all, and so on."""
+def _unsigned(sums):
+    """Whole numbers in a row, their signs as the lowest bits."""
     import numpy as np
-    import pyarrow as pa
 
     flat = np.ascontiguousarray(sums, np.int64).ravel()
-    flat = ((flat << 1) ^ (flat >> 63)).view(np.uint64)  # the sign is the lowest bit
-    wide = max(1, (int(flat.max(initial=0)).bit_length() + 7) // 8)
-    planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 8)[:, :wide].T)
-    return bytes([wide]) + pa.compress(planes, codec="zstd", asbytes=True)
+    return ((flat << 1) ^ (flat >> 63)).view(np.uint64)
 
 
-def _large(data: bytes, rows: int, dims: int):
+def _signed(flat, dims: int):
     import numpy as np
-    import pyarrow as pa
 
-    wide, size = data[0], rows * dims
-    planes = np.frombuffer(pa.decompress(data[1:], wide * size, codec="zstd", asbytes=True), np.uint8).reshape(wide, size)
-    flat = np.zeros((size, 8), np.uint8)
-    flat[:, :wide] = planes.T
-    flat = flat.view(np.uint64)[:, 0]
-    return ((flat >> np.uint64(1)).view(np.int64) ^ -(flat & np.uint64(1)).view(np.int64)).reshape(rows, dims)
+    return ((flat >> np.uint64(1)).view(np.int64) ^ -(flat & np.uint64(1)).view(np.int64)).reshape(-1, dims)
 
 
 def _cuts(ranges):
@@ -146,7 +136,7 @@ def _company(dims: int, reach: int, bits: int):
                 sums, cuts = sums.reshape(-1, dims), _cuts(ranges)
                 texts = pa.array([words.take(pa.array(order[a:b])) for a, b in cuts], pa.list_(pa.string()))
                 columns = [pa.array([ranges[a] for a, _ in cuts]), pa.array([batch.column("_slice")[i].as_py()] * len(cuts)), texts]
-                columns.append(pa.array([_small(sums[order[a:b]]) for a, b in cuts], pa.binary()))
+                columns.append(pa.array([_small(_unsigned(sums[order[a:b]])) for a, b in cuts], pa.binary()))
                 yield pa.record_batch(columns, names=["_range", "_slice", "_words", "_sums"])
 
     return run
@@ -167,8 +157,8 @@ def _summed(dims: int):
         parts = [codes[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         sums = np.zeros((len(words.dictionary), dims), np.int64)
         for part, data in zip(parts, blocks.column("_sums").to_pylist(), strict=True):
-            sums[part] += _large(data, len(part), dims)  # a slice has a word once
-        out = pa.array([_small(sums[part]) for part in parts], pa.binary())
+            sums[part] += _signed(_large(data), dims)  # a slice has a word once
+        out = pa.array([_small(_unsigned(sums[part])) for part in parts], pa.binary())
         return pa.table({"_slice": blocks.column("_slice"), "_range": blocks.column("_range"), "_sums": out})
 
     return run
@@ -188,7 +178,7 @@ def _near(key: str, shortest: int, longest: int, dims: int, bits: int, best: int
         place, sign, order, ranges = _indexed(words, dims, bits)
         vectors = np.empty((len(words), dims), np.int64)
         for (a, b), data in zip(_cuts(ranges), sums.sort_by("_range").column("_sums").to_pylist(), strict=True):
-            vectors[order[a:b]] = _large(data, b - a, dims)
+            vectors[order[a:b]] = _signed(_large(data), dims)
         row = np.repeat(np.arange(len(sizes)), sizes)
         left = np.cumsum(sizes)[row] - np.arange(len(codes))
         of_text = np.bincount(row * dims + place[codes], sign[codes], len(sizes) * dims).reshape(-1, dims)
@@ -208,13 +198,9 @@ def _near(key: str, shortest: int, longest: int, dims: int, bits: int, best: int
         below = np.sqrt(norm) * np.sqrt(size * own[of])
         score = np.divide(dot, below, out=np.zeros(len(dot)), where=below > 0)
 
-        def phrases(at, size):
-            joined = [words.take(pa.array(codes[np.minimum(at + i, len(codes) - 1)])) for i in range(longest)]
-            joined = [joined[0]] + [pc.if_else(pa.array(size > i), w, None) for i, w in enumerate(joined) if i]
-            return pc.binary_join_element_wise(*joined, " ", null_handling="skip")
-
+        placed = words.take(pa.array(codes))
         if pc.any(pc.match_substring(words, " ")).as_py():  # other words may then make the same phrase
-            same = phrases(at, size).dictionary_encode().indices.to_numpy().astype(np.int64)
+            same = _joined(placed, at, size, longest).dictionary_encode().indices.to_numpy().astype(np.int64)
             down = np.lexsort((-score, same, of))
             first = np.flatnonzero(np.r_[True, (np.diff(of[down]) != 0) | (np.diff(same[down]) != 0)])
             tf, down = np.add.reduceat(tf[down], first), down[first]
@@ -228,7 +214,7 @@ def _near(key: str, shortest: int, longest: int, dims: int, bits: int, best: int
             least[of[down[last]]] = score[down[last]] - 1e-5
             kept = np.flatnonzero(score >= least[of])
             of, at, tf, size, dot, norm = (x[kept] for x in (of, at, tf, size, dot, norm))
-        columns = [keys.take(pa.array(of)), phrases(at, size), *map(pa.array, (tf, size.astype(np.int32), dot, norm, own[of]))]
+        columns = [keys.take(pa.array(of)), _joined(placed, at, size, longest), *map(pa.array, (tf, size.astype(np.int32), dot, norm, own[of]))]
         return pa.table(columns, names=[key, "phrase", "tf", "size", "dot", "norm", "own"])
 
     return run

@@ -1,7 +1,9 @@
+from collections import Counter
 from itertools import combinations
 from math import log
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from fundscape.operators import clusters, keyphrases, serving
@@ -125,6 +127,28 @@ def test_text_relevance_meets_by_ranges_of_names_not_by_place(spark, monkeypatch
     assert keyphrases.text_relevance(df.limit(0), stop_words=STOP, best=3).count() == 0
 
 
+def test_names_of_phrases_travel_packed():
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(3)
+    texts = [[f"w{w}" for w in rnd.integers(0, 5000, 400)] for _ in range(100)]
+    words = " ".join(w for ws in texts for w in ws).encode()
+    columns = [pa.array([7]), pa.array([[400] * 100], pa.list_(pa.int32())), pa.array([len(words)]), pa.array([pa.compress(words, codec="zstd", asbytes=True)])]
+    batch = pa.record_batch(columns, names=["_slice", "_sizes", "_length", "_w"])
+    [blocks] = keyphrases._blocks(1, 3, 2)([batch])
+    phrases = Counter(p for ws in texts for p in {" ".join(ws[i : i + n]) for n in (1, 2, 3) for i in range(len(ws) - n + 1)})
+    sent = sum(len(x) for c in ("_names", "_more", "_counts") for x in blocks.column(c).to_pylist())
+    assert sent < 9.5 * len(phrases)
+    [sums] = [pa.concat_tables([keyphrases._summed(2)(pa.Table.from_batches([blocks.slice(i, 1)] * 3)).slice(0, 1) for i in range(blocks.num_rows)])]
+    got = np.concatenate([keyphrases._large(x) for x in sums.column("_counts").to_pylist()])
+    assert Counter(got.tolist()) == Counter(3 * n for n in phrases.values())
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [1, 255, 256], [2**64 - 1, 0, 5]])
+def test_packed_numbers_come_back(numbers):
+    assert keyphrases._large(keyphrases._small(np.array(numbers, np.uint64))).tolist() == numbers
+
+
 def test_phrases_of_one_name_in_part_are_told_apart():
     names, more = np.array([7, 5, 7, 7, 5], np.uint64), np.array([1, 2, 0, 1, 2], np.uint32)
     order, of, starts = keyphrases._alike(names, more)
